@@ -6,7 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that separate words (all Unicode white space
-# that a plain whitespace split uses), as a regular expression class.
+# that a plain whitespace split uses).
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + (
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# The same set as a regular expression class.
 WHITESPACE = (
     r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -18,8 +23,13 @@ LAST_AGE_BUCKET = "55+"
 
 
 def words(text: Column) -> Column:
-    """Words of a text, empty strings left out."""
-    return F.array_remove(F.split(text, WHITESPACE + "+"), "")
+    """Words of a text, empty strings left out.
+
+    Mapping all separators to the blank and splitting at that one character is
+    faster than a regular expression over the whole class.
+    """
+    blanks = F.translate(text, SPACES, " " * len(SPACES))
+    return F.array_remove(F.split(blanks, " "), "")
 
 
 def word_count(text: Column) -> Column:

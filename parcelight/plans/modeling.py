@@ -31,6 +31,7 @@ from parcelight.operators.orders import (
 )
 from parcelight.operators.quality import split_by_kind
 from parcelight.operators.statistics import classification_report, modes, roc_auc, threshold_scores
+from parcelight.session import cut_lineage
 
 TARGET = "target_late"
 NOT_FEATURES = ("order_id", TARGET, PURCHASED, "position", "part", "weight")
@@ -229,8 +230,10 @@ class Evaluation:
 
 def evaluate(name: str, model: PipelineModel, test: DataFrame) -> Evaluation:
     numeric, categorical = feature_columns(test)
-    scored = score_orders(test, model, numeric + categorical).select(
-        TARGET, "probability_late", "predicted_late"
+    scored = cut_lineage(
+        score_orders(test, model, numeric + categorical).select(
+            TARGET, "probability_late", "predicted_late"
+        )
     )
     auc = roc_auc(scored, "probability_late", TARGET).first()["roc_auc"]
     lines = [r.asDict() for r in classification_report(scored, TARGET, "predicted_late").collect()]

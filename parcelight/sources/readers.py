@@ -39,12 +39,15 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = spark.read.options(**CSV_OPTIONS).schema(as_text).csv(path)
-    return raw.select(
-        *[
-            null_tokens_to_null(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def typed(field: T.StructField) -> Column:
+        value = null_tokens_to_null(F.col(f"`{field.name}`"))
+        if isinstance(field.dataType, T.IntegralType):
+            # whole numbers next to missing ones are often written as 39.0
+            value = value.cast("decimal(38,6)")
+        return value.cast(field.dataType).alias(field.name)
+
+    return raw.select(*[typed(f) for f in schema.fields])
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
