@@ -13,8 +13,13 @@ def round_half_up(value: Column, digits: int) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum that does not depend on row order: exact decimals inside."""
-    return F.sum(value.cast("decimal(18,4)")).cast("double")
+    """Sum that does not depend on row order.
+
+    Amounts are added as whole ten-thousandths, which is exact and, unlike a
+    wide decimal, a plain long in the aggregation buffer.  A sum beyond the
+    range of a long raises under ANSI mode, the default.
+    """
+    return F.sum(F.floor(value * 10000.0 + 0.5)) / 10000.0
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -65,6 +65,25 @@ def _described_items(items: DataFrame, products: DataFrame, sellers: DataFrame)
     return items.join(products, "product_id").join(sellers, "seller_id")
 
 
+def _vocabulary(dimension: DataFrame, column: str) -> Column:
+    """The names that occur in a column of few categories, sorted, as one value.
+
+    Smallest and largest names are found by their position in this list: whole
+    numbers keep the aggregation of the item lines a hash aggregation, where
+    strings would make it sort all lines.
+    """
+    return dimension.agg(F.array_sort(F.collect_set(column))).scalar()
+
+
+def _code(vocabulary: Column, column: str) -> Column:
+    """Position of a name from 1 on; a missing name has none."""
+    return F.array_position(vocabulary, F.col(column)).cast("int")
+
+
+def _decode(vocabulary: Column, code: str) -> Column:
+    return F.try_element_at(vocabulary, F.col(code))
+
+
 def item_rollup(
     items: DataFrame,
     products: DataFrame,
@@ -76,15 +95,32 @@ def item_rollup(
     ``category_rule`` is ``first`` (alphabetically) or ``mode`` (most item
     lines, then alphabetically).
     """
-    lines = _described_items(items, products, sellers)
-    rolled = lines.groupBy("order_id").agg(
-        F.count_distinct("order_item_id").alias("n_items"),
-        money_sum(F.col("price")).alias("raw_price"),
-        money_sum(F.col("freight_value")).alias("raw_freight"),
-        F.avg(safe_ratio(F.col("freight_value"), F.col("price"))).alias("raw_ratio"),
-        F.min("product_category_name").alias("first_category"),
-        F.min("seller_state").alias("min_seller_state"),
-        F.max("seller_state").alias("max_seller_state"),
+    categories = _vocabulary(products, "product_category_name")
+    states = _vocabulary(sellers, "seller_state")
+    lines = _described_items(
+        items,
+        products.withColumn("category_code", _code(categories, "product_category_name")),
+        sellers.withColumn("state_code", _code(states, "seller_state")),
+    )
+    rolled = (
+        lines.groupBy("order_id")
+        .agg(
+            F.count_distinct("order_item_id").alias("n_items"),
+            money_sum(F.col("price")).alias("raw_price"),
+            money_sum(F.col("freight_value")).alias("raw_freight"),
+            F.avg(safe_ratio(F.col("freight_value"), F.col("price"))).alias("raw_ratio"),
+            F.min("category_code").alias("first_code"),
+            F.min("state_code").alias("min_code"),
+            F.max("state_code").alias("max_code"),
+        )
+        .withColumns(
+            {
+                "first_category": _decode(categories, "first_code"),
+                "min_seller_state": _decode(states, "min_code"),
+                "max_seller_state": _decode(states, "max_code"),
+            }
+        )
+        .drop("first_code", "min_code", "max_code")
     )
     if category_rule == "mode":
         counted = (
@@ -172,9 +208,16 @@ def order_lists(items: DataFrame, products: DataFrame, sellers: DataFrame) -> Da
 
 def payment_rollup(payments: DataFrame) -> DataFrame:
     """Highest number of installments and first payment type of each order."""
-    return payments.groupBy("order_id").agg(
-        F.max("payment_installments").alias("payment_installments"),
-        F.min("payment_type").alias("payment_type"),
+    kinds = _vocabulary(payments, "payment_type")
+    return (
+        payments.withColumn("kind_code", _code(kinds, "payment_type"))
+        .groupBy("order_id")
+        .agg(
+            F.max("payment_installments").alias("payment_installments"),
+            F.min("kind_code").alias("kind_code"),
+        )
+        .withColumn("payment_type", _decode(kinds, "kind_code"))
+        .drop("kind_code")
     )
 
 

@@ -68,7 +68,8 @@ def prior_totals(
         .orderBy(*order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
-    within = blocked.select(
+    # each block goes to a task of its own
+    within = blocked.repartitionById(n_blocks, _BLOCK).select(
         "*", *[F.sum(values[n]).over(earlier_rows).alias(f"__w_{n}") for n in names]
     )
     same = F.col(_BLOCK) == F.col("__c_block")

@@ -146,7 +146,11 @@ def tidy_names(df: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    return df.na.drop(subset=["review_text"]).na.drop(subset=list(CATEGORY_COLUMNS))
+    """Rows with a text and all categories; plain null tests reach the scan."""
+    complete = F.col("review_text").isNotNull()
+    for c in CATEGORY_COLUMNS:
+        complete = complete & F.col(c).isNotNull()
+    return df.where(complete)
 
 
 def drop_copies(df: DataFrame, key: str | None = "review_id") -> DataFrame:
@@ -168,9 +172,8 @@ def clip_age(df: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
     ``evidence`` is where impossible ages are looked for; it may hold more
     copies of the same rows than ``df``, which saves repeating their removal.
     """
-    any_bad = (evidence if evidence is not None else df).agg(
-        F.coalesce(F.bool_or(_age_outlier()), F.lit(False))
-    )
+    searched = evidence if evidence is not None else df
+    any_bad = searched.where(_age_outlier()).agg(F.count(F.lit(1)) > 0)
     limited = F.when(any_bad.scalar(), clip(F.col("age"), 18, 100)).otherwise(F.col("age"))
     return df.withColumn("age", limited)
 

@@ -36,13 +36,18 @@ def filter_orders(
     return chosen
 
 
+def value_list(df: DataFrame, column: str) -> DataFrame:
+    """The different values of a column in order, for a choice of filters."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+
+
+def nothing_selected(orders: DataFrame) -> bool:
+    """Whether a selection is empty; reads no more than its first row."""
+    return orders.isEmpty()
+
+
 def state_list(mart: DataFrame) -> DataFrame:
-    return (
-        mart.where(F.col("customer_state").isNotNull())
-        .select("customer_state")
-        .distinct()
-        .orderBy("customer_state")
-    )
+    return value_list(mart, "customer_state")
 
 
 def preselected_states(mart: DataFrame, n: int = 5) -> DataFrame:
@@ -50,12 +55,7 @@ def preselected_states(mart: DataFrame, n: int = 5) -> DataFrame:
 
 
 def category_list(mart: DataFrame) -> DataFrame:
-    return (
-        mart.where(F.col("product_category").isNotNull())
-        .select("product_category")
-        .distinct()
-        .orderBy("product_category")
-    )
+    return value_list(mart, "product_category")
 
 
 def kpi_overview(orders: DataFrame) -> DataFrame:

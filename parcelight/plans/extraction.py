@@ -18,7 +18,8 @@ SENTIMENTS = ("positive", "negative", "neutral")
 COMPLAINTS = ("sizing", "quality", "fabric", "color_mismatch", "none", "other")
 FALLBACK = ("neutral", "none", "parse-failed")
 
-# What to do about the most frequent complaint of a department.
+# What to do about the most frequent complaint of a department,
+# as a sentence and as the label of a count.
 ADVICE = {
     "sizing": "Review and update the size chart for this department",
     "quality": "Investigate supplier quality standards",
@@ -26,6 +27,12 @@ ADVICE = {
     "color_mismatch": "Review product photography/color representation",
 }
 
+NOTICE = {
+    "sizing": "Review size chart",
+    "quality": "Investigate supplier quality",
+    "fabric": "Consider fabric sourcing",
+}
+
 _ANSWER = "array<struct<" + ",".join(f"{k}:string" for k in KEYS) + ">>"
 _STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
 
@@ -197,14 +204,22 @@ def top_complaint(joined: DataFrame, by: str = "department_name") -> DataFrame:
 
 
 def recommendations(joined: DataFrame, by: str = "department_name") -> DataFrame:
-    """Advice per group whose main complaint is one; no advice text for others
-    in ``advice``, a plain count in ``notice``."""
+    """Advice per group whose main complaint is not ``none``.
+
+    ``advice`` is a sentence, null where there is none for the complaint;
+    ``notice`` is a labelled count, without a label where there is none.
+    """
     top = top_complaint(joined, by).where((F.col("top_complaint") != "none") & (F.col("top_count") > 0))
-    advice = F.lit(None).cast("string")
-    for complaint, text in ADVICE.items():
-        advice = F.when(F.col("top_complaint") == complaint, text).otherwise(advice)
-    notice = F.format_string("%s: %s %s complaints", F.col(by), F.col("top_count"), F.col("top_complaint"))
-    return top.withColumns({"advice": advice, "notice": notice})
+
+    def looked_up(texts: dict[str, str]) -> Column:
+        found = F.lit(None).cast("string")
+        for complaint, text in texts.items():
+            found = F.when(F.col("top_complaint") == complaint, text).otherwise(found)
+        return found
+
+    count = F.format_string("%s %s complaints", F.col("top_count"), F.col("top_complaint"))
+    notice = F.concat(F.col(by), F.lit(": "), F.concat_ws(" - ", looked_up(NOTICE), count))
+    return top.withColumns({"advice": looked_up(ADVICE), "notice": notice})
 
 
 def review_explorer(

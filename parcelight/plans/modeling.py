@@ -274,10 +274,41 @@ def feature_importances(spark: SparkSession, top: list[dict]) -> DataFrame:
     )
 
 
+def train_and_select(
+    train: DataFrame, test: DataFrame, trees: int = 300, depth: int = 15, max_iter: int = 1000
+) -> tuple[PipelineModel, dict]:
+    """Fit both kinds of model, keep the better one, and describe the run."""
+    logistic = fit_logistic(train, max_iter)
+    forest = fit_forest(train, trees, depth)
+    results = (evaluate("LogisticRegression", logistic, test), evaluate("RandomForest", forest, test))
+    best = better_model(*results)
+    metadata = model_metadata(
+        best,
+        results,
+        {"train": _balance(train), "test": _balance(test)},
+        feature_columns(train),
+        expanded_names(forest, train),
+        top_importances(forest, train),
+        {
+            "LogisticRegression": {"max_iter": max_iter},
+            "RandomForest": {"trees": trees, "depth": depth, "min_leaf": 5, "class_weight": "balanced", "seed": 42},
+        },
+    )
+    return (logistic if best is results[0] else forest), metadata
+
+
+def _balance(df: DataFrame) -> dict[str, int]:
+    row = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(TARGET) == 1).alias("late")
+    ).first()
+    return {"rows": row["rows"], "late": row["late"], "on_time": row["rows"] - row["late"]}
+
+
 # ---- persistence -------------------------------------------------------------
 
 
 def model_metadata(
+    best: Evaluation,
     evaluations: Sequence[Evaluation],
     balance: Mapping[str, Mapping[str, int]],
     columns: tuple[Sequence[str], Sequence[str]],
@@ -285,7 +316,6 @@ def model_metadata(
     top: Sequence[dict],
     parameters: Mapping[str, Mapping],
 ) -> dict:
-    best = max(evaluations, key=lambda e: e.roc_auc)
     return {
         "best_model": best.name,
         "metrics": {e.name: {"roc_auc": e.roc_auc, "f1": e.f1} for e in evaluations},

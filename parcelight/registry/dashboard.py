@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,10 @@ def _preselected(i: Inputs) -> DataFrame:
     return plan.kpi_overview(plan.filter_orders(orders, states=plan.preselected_states(orders)))
 
 
+def _in_range(i: Inputs) -> DataFrame:
+    return plan.kpi_overview(plan.filter_orders(delivered(i), first=date(1995, 1, 1), last=date(1997, 6, 30)))
+
+
 SPECS: dict[str, Spec] = {
     "kpi_overview": Spec(
         lambda i: _days_as_text(plan.kpi_overview(delivered(i))), MART_VIEWS, _CHAIN + _kpi_sql("delivered")
@@ -56,6 +62,14 @@ SPECS: dict[str, Spec] = {
             "delivered where customer_state in (select distinct customer_state from delivered order by 1 limit 5)"
         ),
     ),
+    "kpi_date_range": Spec(
+        lambda i: _days_as_text(_in_range(i)),
+        MART_VIEWS,
+        _CHAIN
+        + _kpi_sql(
+            "delivered where cast(order_purchase_timestamp as date) between date '1995-01-01' and date '1997-06-30'"
+        ),
+    ),
     "revenue_by_state": Spec(
         lambda i: plan.revenue_by_state(delivered(i)),
         MART_VIEWS,

@@ -74,6 +74,8 @@ top as (select department_name, complaint_category as top_complaint, n as top_co
 """
 _ADVICE_SQL = "case top_complaint " + " ".join(f"when '{k}' then '{v}'" for k, v in plan.ADVICE.items()) + " end"
 
+_NOTICE_SQL = "case top_complaint " + " ".join(f"when '{k}' then '{v} - '" for k, v in plan.NOTICE.items()) + " else '' end"
+
 SPECS: dict[str, Spec] = {
     "prompt_build": Spec(
         lambda i: plan.prompt_build(i.apparel_reviews_raw).select("review_id", "system_text", "user_text"),
@@ -135,7 +137,7 @@ SPECS: dict[str, Spec] = {
         _VIEWS,
         _TOP_SQL
         + f"""select *, {_ADVICE_SQL} as advice,
-            concat(department_name, ': ', top_count, ' ', top_complaint, ' complaints') as notice
+            concat(department_name, ': ', {_NOTICE_SQL}, top_count, ' ', top_complaint, ' complaints') as notice
         from top where top_complaint <> 'none' and top_count > 0""",
     ),
     "review_explorer": Spec(

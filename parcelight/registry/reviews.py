@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.functions.numbers import round_half_up
 from parcelight.functions.text import AGE_BUCKETS, LAST_AGE_BUCKET
 from parcelight.operators import quality
 from parcelight.operators.sampling import seeded_sample
 from parcelight.plans import reviews as plan
+from parcelight.plans.dashboard import value_list
 from parcelight.registry.spec import Spec, rounded, words_sql
 from parcelight.session import shared_path
 from parcelight.sources.fixtures import Inputs
@@ -262,6 +262,11 @@ SPECS: dict[str, Spec] = {
         select event_id, try_cast(number_text as double) as number,
             try_cast(ts_text as timestamp) as moment from t""",
     ),
+    "department_list": Spec(
+        lambda i: value_list(i.apparel_reviews_raw, "department_name"),
+        RAW,
+        f"select distinct department_name from {RAW} where department_name is not null order by 1",
+    ),
     "review_length": Spec(
         lambda i: table(i).select("review_id", "review_length"),
         RAW,

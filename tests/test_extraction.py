@@ -86,6 +86,7 @@ def test_top_complaint_ties_by_name_and_advice(joined):
     advice = {r["department_name"]: r for r in ex.recommendations(joined).collect()}
     assert set(advice) == {"Tops", "Lounge"}
     assert advice["Tops"]["advice"] == ex.ADVICE["fabric"]
+    assert advice["Tops"]["notice"] == "Tops: Consider fabric sourcing - 1 fabric complaints"
     assert advice["Lounge"]["advice"] is None and advice["Lounge"]["notice"] == "Lounge: 1 other complaints"
 
 

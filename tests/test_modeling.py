@@ -71,7 +71,7 @@ def test_save_load_and_metadata(spark, parts, logistic, tmp_path):
     other = modeling.Evaluation("RandomForest", result.roc_auc, 0.0)
     assert modeling.better_model(result, other) is result
     metadata = modeling.model_metadata(
-        [result, other], {"train": {"late": 1, "on_time": 2}}, columns,
+        result, [result, other], {"train": {"late": 1, "on_time": 2}}, columns,
         modeling.expanded_names(logistic, train), [], {"LogisticRegression": {"max_iter": 1000}},
     )
     folder = str(tmp_path / "late")
@@ -84,6 +84,18 @@ def test_save_load_and_metadata(spark, parts, logistic, tmp_path):
     assert score(model) == score(logistic)
 
 
+def test_the_better_model_is_kept(spark, parts):
+    train, test = parts
+    model, metadata = modeling.train_and_select(train, test, trees=3, depth=3, max_iter=50)
+    scores = {name: m["roc_auc"] for name, m in metadata["metrics"].items()}
+    assert metadata["best_model"] == max(scores, key=scores.get)
+    assert metadata["balance"]["train"]["rows"] == train.count()
+    assert sum(metadata["balance"]["test"][k] for k in ("late", "on_time")) == test.count()
+    assert len(metadata["top_features"]) == 10
+    needed = metadata["numeric_features"] + metadata["categorical_features"]
+    assert modeling.score_orders(test, model, needed).count() == test.count()
+
+
 def test_stream_scores_like_batch(spark, parts, logistic, tmp_path):
     test = parts[1]
     source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))

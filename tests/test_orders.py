@@ -145,6 +145,8 @@ def test_dashboard_filters(star, reviews):
     assert dashboard.filter_orders(mart, first=T0.date(), last=T0.date()).count() == 1
     assert dashboard.filter_orders(mart, states=[]).count() == 0
     assert dashboard.filter_orders(mart, states=dashboard.preselected_states(mart, 1)).count() == 1
+    assert dashboard.nothing_selected(dashboard.filter_orders(mart, states=["nowhere"]))
+    assert [r[0] for r in dashboard.value_list(mart, "customer_state").collect()] == ["RJ", "SP"]
     kpi = dashboard.kpi_overview(dashboard.delivered_only(mart)).first()
     assert (kpi["avg_review"], kpi["avg_review_reviewed"], kpi["total_revenue"]) == (1.75, 3.5, 70.0)
     assert dashboard.late_rate_by(mart, "customer_state", 2).count() == 1
