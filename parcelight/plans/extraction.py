@@ -86,24 +86,33 @@ def complete(prompts: DataFrame, answer: Complete, key: str = "review_id") -> Da
 # ---- parsing -----------------------------------------------------------------
 
 
-def _parsed(raw: Column) -> tuple[Column, Column]:
-    """The answer as a struct, and whether it is one JSON object with all keys.
+def _parsed(raw: Column) -> Column:
+    """Struct of ``parsed_ok`` and the three fields of an answer.
 
-    The text is parsed inside brackets, so anything after the object breaks the
-    array instead of being passed over.  A key with a null value is present.
+    An answer counts if it is one JSON object with all keys; a key with a null
+    value is present.  The text is parsed inside brackets, so anything after
+    the object breaks the array instead of being passed over.  Lambdas bind the
+    unwrapped text and the parsed array, so each is computed once per row.
     """
-    body = strip_code_fence(raw)
-    wrapped = F.from_json(F.concat(F.lit("["), body, F.lit("]")), _ANSWER, _STRICT_JSON)
-    present = F.size(F.array_intersect(F.json_object_keys(body), F.array(*[F.lit(k) for k in KEYS])))
-    ok = F.coalesce((F.size(wrapped) == 1) & (present == len(KEYS)), F.lit(False))
-    return F.try_element_at(wrapped, F.lit(1)), ok
+    wanted = F.array(*[F.lit(k) for k in KEYS])
+
+    def read(body: Column) -> Column:
+        return F.struct(
+            F.from_json(F.concat(F.lit("["), body, F.lit("]")), _ANSWER, _STRICT_JSON).alias("items"),
+            F.size(F.array_intersect(F.json_object_keys(body), wanted)).alias("present"),
+        )
+
+    def decide(answer: Column) -> Column:
+        ok = F.coalesce((F.size(answer["items"]) == 1) & (answer["present"] == len(KEYS)), F.lit(False))
+        first = F.try_element_at(answer["items"], F.lit(1))
+        return F.struct(ok.alias("parsed_ok"), *[F.when(ok, first[k]).alias(k) for k in KEYS])
+
+    return F.transform(F.transform(F.array(strip_code_fence(raw)), read), decide)[0]
 
 
 def try_parse(responses: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``parsed_ok`` and the three fields, null where the answer is unreadable."""
-    value, ok = _parsed(F.col(raw))
-    marked = responses.withColumns({"__v": value, "parsed_ok": ok})
-    return marked.withColumns({k: F.when(F.col("parsed_ok"), F.col("__v")[k]) for k in KEYS}).drop("__v")
+    return responses.withColumn("__a", _parsed(F.col(raw))).select(*responses.columns, "__a.*")
 
 
 def with_fallback(parsed: DataFrame) -> DataFrame:
@@ -167,11 +176,16 @@ def extraction_join(reviews: DataFrame, extracted: DataFrame, key: str = "review
 
 
 def complaint_counts(joined: DataFrame, by: str) -> DataFrame:
-    """Rows per group and complaint; rows without either are left out."""
+    """Rows per group and complaint; rows without either are left out.
+
+    Missing complaints go after the count: tested before, the parsing of the
+    answers would run once more for the test.
+    """
     return (
-        joined.where(F.col(by).isNotNull() & F.col("complaint_category").isNotNull())
+        joined.where(F.col(by).isNotNull())
         .groupBy(by, "complaint_category")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("complaint_category").alias("n"))
+        .where(F.col("n") > 0)
     )
 
 
@@ -182,12 +196,15 @@ def complaint_matrix(joined: DataFrame, by: str, categories: Sequence[str] = COM
     """
     category = F.col("complaint_category")
     return (
-        joined.where(F.col(by).isNotNull() & category.isNotNull())
+        joined.where(F.col(by).isNotNull())
         .groupBy(by)
         .agg(
             *[F.count_if(category == c).alias(c) for c in categories],
             F.count_if(~category.isin(*categories)).alias("unlisted"),
+            F.count(category).alias("__n"),
         )
+        .where(F.col("__n") > 0)
+        .drop("__n")
     )
 
 

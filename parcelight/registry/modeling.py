@@ -104,11 +104,9 @@ def _report(i: Inputs) -> DataFrame:
 
 def _parts(frame: DataFrame, order_by: list[str]) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; the frame is read many times, so it is cut off here."""
-    split = cut_lineage(history.time_split(frame, order_by))
-    return (
-        split.where(F.col("part") == "train").drop("part", "position"),
-        split.where(F.col("part") == "test").drop("part", "position"),
-    )
+    rows = cut_lineage(frame)
+    early = history.is_train(rows, order_by)
+    return rows.where(early), rows.where(~early)
 
 
 def _model_parts(i: Inputs) -> tuple[DataFrame, DataFrame]:

@@ -130,6 +130,15 @@ def test_split_sizes(spark, n):
     assert parts == ["train"] * int(0.8 * n) + ["test"] * (n - int(0.8 * n))
 
 
+def test_the_two_ways_to_split_agree(spark, inputs):
+    frame = orders.delivered_orders(inputs.shop_orders).select("order_id", "order_purchase_timestamp")
+    by = ["order_purchase_timestamp", "order_id"]
+    split = history.time_split(frame, by).where("part = 'train'").select("order_id").collect()
+    early = frame.where(history.is_train(frame, by)).select("order_id").collect()
+    assert sorted(split) == sorted(early) and len(early) == int(0.8 * frame.count())
+    assert frame.limit(0).where(history.is_train(frame.limit(0), by)).count() == 0
+
+
 def test_light_frame_and_what_if(star, reviews):
     mart = orders.order_mart(**star, reviews=reviews)
     light = _by_order(modeling.light_model_dataset(mart))
