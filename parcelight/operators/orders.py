@@ -65,23 +65,31 @@ def _described_items(items: DataFrame, products: DataFrame, sellers: DataFrame)
     return items.join(products, "product_id").join(sellers, "seller_id")
 
 
-def _vocabulary(dimension: DataFrame, column: str) -> Column:
-    """The names that occur in a column of few categories, sorted, as one value.
+class SortedNames:
+    """Names of a column as their places in alphabetical order.
 
-    Smallest and largest names are found by their position in this list: whole
-    numbers keep the aggregation of the item lines a hash aggregation, where
-    strings would make it sort all lines.
+    Smallest and largest names are then found among whole numbers, which keeps
+    the aggregation of the item lines a hash aggregation; over strings it would
+    sort all lines.  Up to ``LIMIT`` names are listed in the plan; a column
+    with more of them is aggregated as it is.
     """
-    return dimension.agg(F.array_sort(F.collect_set(column))).scalar()
 
+    LIMIT = 256
 
-def _code(vocabulary: Column, column: str) -> Column:
-    """Position of a name from 1 on; a missing name has none."""
-    return F.array_position(vocabulary, F.col(column)).cast("int")
+    def __init__(self, df: DataFrame, column: str):
+        found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(self.LIMIT + 1)
+        names = sorted((r[0] for r in found.collect()), key=lambda name: name.encode())
+        self.column = column
+        self.listed = F.array(*[F.lit(n) for n in names]) if 0 < len(names) <= self.LIMIT else None
 
+    def code(self) -> Column:
+        """Place of a name from 1 on; a missing name has none."""
+        if self.listed is None:
+            return F.col(self.column)
+        return F.array_position(self.listed, F.col(self.column)).cast("int")
 
-def _decode(vocabulary: Column, code: str) -> Column:
-    return F.try_element_at(vocabulary, F.col(code))
+    def name(self, code: str) -> Column:
+        return F.col(code) if self.listed is None else F.try_element_at(self.listed, F.col(code))
 
 
 def item_rollup(
@@ -95,12 +103,12 @@ def item_rollup(
     ``category_rule`` is ``first`` (alphabetically) or ``mode`` (most item
     lines, then alphabetically).
     """
-    categories = _vocabulary(products, "product_category_name")
-    states = _vocabulary(sellers, "seller_state")
+    categories = SortedNames(products, "product_category_name")
+    states = SortedNames(sellers, "seller_state")
     lines = _described_items(
         items,
-        products.withColumn("category_code", _code(categories, "product_category_name")),
-        sellers.withColumn("state_code", _code(states, "seller_state")),
+        products.withColumn("category_code", categories.code()),
+        sellers.withColumn("state_code", states.code()),
     )
     rolled = (
         lines.groupBy("order_id")
@@ -115,9 +123,9 @@ def item_rollup(
         )
         .withColumns(
             {
-                "first_category": _decode(categories, "first_code"),
-                "min_seller_state": _decode(states, "min_code"),
-                "max_seller_state": _decode(states, "max_code"),
+                "first_category": categories.name("first_code"),
+                "min_seller_state": states.name("min_code"),
+                "max_seller_state": states.name("max_code"),
             }
         )
         .drop("first_code", "min_code", "max_code")
@@ -208,15 +216,15 @@ def order_lists(items: DataFrame, products: DataFrame, sellers: DataFrame) -> Da
 
 def payment_rollup(payments: DataFrame) -> DataFrame:
     """Highest number of installments and first payment type of each order."""
-    kinds = _vocabulary(payments, "payment_type")
+    kinds = SortedNames(payments, "payment_type")
     return (
-        payments.withColumn("kind_code", _code(kinds, "payment_type"))
+        payments.withColumn("kind_code", kinds.code())
         .groupBy("order_id")
         .agg(
             F.max("payment_installments").alias("payment_installments"),
             F.min("kind_code").alias("kind_code"),
         )
-        .withColumn("payment_type", _decode(kinds, "kind_code"))
+        .withColumn("payment_type", kinds.name("kind_code"))
         .drop("kind_code")
     )
 

@@ -25,6 +25,18 @@ from parcelight.session import cut_lineage
 _BLOCK = "__block"
 
 
+def in_blocks(
+    df: DataFrame,
+    order_by: Sequence[str],
+    partition_by: Sequence[str] = (),
+    blocks: int | None = None,
+) -> DataFrame:
+    """The rows, checkpointed, with the number of the block they fall into."""
+    n_blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n_blocks, *partition_by, *order_by)
+    return cut_lineage(ranged.withColumn(_BLOCK, F.spark_partition_id()))
+
+
 def prior_totals(
     df: DataFrame,
     order_by: Sequence[str],
@@ -37,15 +49,20 @@ def prior_totals(
     ``order_by`` must be unique within a key.  Values must be numeric; null
     counts as zero and the first row of a key gets zero.
     """
+    blocked = in_blocks(df, order_by, partition_by, blocks)
+    return prior_totals_in_blocks(blocked, order_by, values, partition_by)
+
+
+def prior_totals_in_blocks(
+    blocked: DataFrame,
+    order_by: Sequence[str],
+    values: Mapping[str, Column],
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """``prior_totals`` of rows that are in blocks of the same order already."""
     keys = list(partition_by)
     names = list(values)
-    n_blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocked = cut_lineage(
-        df.repartitionByRange(n_blocks, *keys, *order_by).withColumn(
-            _BLOCK, F.spark_partition_id()
-        )
-    )
-
+    n_blocks = max(blocked.rdd.getNumPartitions(), 1)
     per_block = blocked.groupBy(_BLOCK, *keys).agg(
         *[F.coalesce(F.sum(values[n]), F.lit(0)).alias(n) for n in names]
     )
@@ -78,7 +95,7 @@ def prior_totals(
     joined = within.join(F.broadcast(carried), same, "left")
     zero = F.lit(0)
     return joined.select(
-        *[c for c in df.columns],
+        *[c for c in blocked.columns if c != _BLOCK],
         *[
             (F.coalesce(F.col(f"__w_{n}"), zero) + F.coalesce(F.col(f"__c_sum_{n}"), zero)).alias(n)
             for n in names

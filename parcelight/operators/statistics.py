@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.operators.prefix import prior_totals
+from parcelight.operators.prefix import in_blocks, prior_totals, prior_totals_in_blocks
 
 
 # ---- imputation and scaling --------------------------------------------------
@@ -27,8 +27,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = prior_totals(counted, ["value"], {"below": F.col("n")}, ["column_name"])
-    sizes = placed.groupBy("column_name").agg(F.max(F.col("below") + F.col("n")).alias("total"))
+    blocked = in_blocks(counted, ["value"], ["column_name"])
+    placed = prior_totals_in_blocks(blocked, ["value"], {"below": F.col("n")}, ["column_name"])
+    sizes = blocked.groupBy("column_name").agg(F.sum("n").alias("total"))
     # one row per column: broadcast of a size fixed by the caller
     ranked = placed.join(F.broadcast(sizes), "column_name")
 

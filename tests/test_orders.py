@@ -58,6 +58,12 @@ def test_features(star):
     assert (two["freight_to_price_ratio"], two["cross_state"], two["product_category"]) == (None, 0, "unknown")
 
 
+def test_many_names_give_the_same_result(star, monkeypatch):
+    few = orders.order_features(**star).orderBy("order_id").collect()
+    monkeypatch.setattr(orders.SortedNames, "LIMIT", 1)
+    assert orders.order_features(**star).orderBy("order_id").collect() == few
+
+
 def test_category_rules(spark, star):
     products = spark.createDataFrame([(100, "art"), (101, "toys")], "product_id long, product_category_name string")
     parts = {**star, "products": products}

@@ -43,6 +43,12 @@ def test_status_filter_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(order_status,delivered)" in text
 
 
+def test_item_lines_are_hashed_not_sorted(inputs):
+    i = inputs
+    assert "SortAggregate" not in _plan(orders.item_rollup(i.shop_items, i.shop_products, i.shop_sellers))
+    assert "SortAggregate" not in _plan(orders.payment_rollup(i.shop_payments))
+
+
 def test_no_window_over_a_whole_table(spark, folder):
     for name in ("seller_hist_late_rate", "time_split", "auc_rank"):
         text = _plan(queries()[name](spark, folder))
