@@ -49,6 +49,33 @@ def test_item_lines_are_hashed_not_sorted(inputs):
     assert "SortAggregate" not in _plan(orders.payment_rollup(i.shop_payments))
 
 
+def test_a_hot_product_and_seller_are_split_at_run_time(spark, inputs):
+    """Half of all lines name one product and one seller; with dimensions too
+    big to broadcast, the skewed partitions of both joins are split."""
+    spark.range(200_000).selectExpr(
+        "id as order_id", "1 as order_item_id", "case when id % 2 = 0 then 1 else id % 200 + 1 end as product_id",
+        "case when id % 2 = 0 then 1 else id % 10 + 1 end as seller_id", "1.0D as price", "2.0D as freight_value",
+    ).createOrReplaceTempView("hot_items")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rolled = orders.item_rollup(spark.table("hot_items").repartition(4), inputs.shop_products, inputs.shop_sellers)
+        rolled.collect()
+        assert _plan(rolled).split("Initial Plan")[0].count("skew=true") >= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_no_window_over_a_whole_table(spark, folder):
     for name in ("seller_hist_late_rate", "time_split", "auc_rank"):
         text = _plan(queries()[name](spark, folder))
