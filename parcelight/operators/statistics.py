@@ -7,43 +7,76 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.operators.prefix import in_blocks, prior_totals, prior_totals_in_blocks
+from parcelight.operators.prefix import prior_totals
+from parcelight.session import cut_lineage
 
 
 # ---- imputation and scaling --------------------------------------------------
 
 
+# Half-width, in shares of the rows, of the range around the middle that is
+# looked at closely, and the accuracy of the sketch that finds the range.
+_NEAR_MIDDLE = 0.001
+_SKETCH_ACCURACY = 10_000
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Median of every column: one row each of ``column_name`` and ``median``.
 
-    Equal values are counted before they are ordered, and the order is a
-    distributed one, so neither a frequent value nor a column with many
-    different values ends in a single task.
+    A sketch finds a narrow range that holds the middle; only the values in it
+    are counted and put in order, across tasks, and the rows below it are just
+    counted.  Should the range miss the middle of a column, the whole column is
+    taken.  Missing values and NaN are left out.
     """
-    typed = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = cut_lineage(
+        df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    )
+    shares = [0.5 - _NEAR_MIDDLE, 0.5 + _NEAR_MIDDLE]
+    sketched = numbers.agg(
+        *[F.percentile_approx(c, shares, _SKETCH_ACCURACY).alias(c) for c in columns]
+    ).first()
+    ranges = {c: tuple(sketched[c]) for c in columns if sketched[c] is not None}
+    if not ranges:
+        return df.sparkSession.createDataFrame([], "column_name string, median double")
+
+    def place(c: str) -> Column:
+        low, high = ranges[c]
+        return F.struct(
+            F.count(c).alias("n"),
+            F.count_if(F.col(c) < low).alias("below"),
+            F.count_if(F.col(c) <= high).alias("up_to"),
+        ).alias(c)
+
+    found = numbers.agg(*[place(c) for c in ranges]).first()
+    below = {}
+    for c in ranges:
+        inside = found[c]["below"] <= (found[c]["n"] - 1) // 2 and found[c]["n"] // 2 < found[c]["up_to"]
+        below[c] = found[c]["below"] if inside else 0
+        ranges[c] = ranges[c] if inside else (float("-inf"), float("inf"))
+
+    near = numbers.select(*[F.when(F.col(c).between(*r), F.col(c)).alias(c) for c, r in ranges.items()])
     counted = (
-        typed.unpivot([], list(columns), "column_name", "value")
+        near.unpivot([], list(ranges), "column_name", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    blocked = in_blocks(counted, ["value"], ["column_name"])
-    placed = prior_totals_in_blocks(blocked, ["value"], {"below": F.col("n")}, ["column_name"])
-    sizes = blocked.groupBy("column_name").agg(F.sum("n").alias("total"))
-    # one row per column: broadcast of a size fixed by the caller
-    ranked = placed.join(F.broadcast(sizes), "column_name")
-
-    def holds(rank: Column) -> Column:
-        return (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
-
-    low = F.floor((F.col("total") - 1) / 2)
-    high = F.floor(F.col("total") / 2)
-    return ranked.groupBy("column_name").agg(
-        (
-            (F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value"))))
-            / 2.0
-        ).alias("median")
-    )
+    placed = prior_totals(counted, ["value"], {"earlier": F.col("n")}, ["column_name"])
+
+    def per_column(values: dict[str, int]) -> Column:
+        picked = F.lit(None).cast("bigint")
+        for c, v in values.items():
+            picked = F.when(F.col("column_name") == c, F.lit(v).cast("bigint")).otherwise(picked)
+        return picked
+
+    first = per_column(below) + F.col("earlier")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank < first + F.col("n")), F.col("value")))
+
+    low = per_column({c: (found[c]["n"] - 1) // 2 for c in ranges})
+    high = per_column({c: found[c]["n"] // 2 for c in ranges})
+    return placed.groupBy("column_name").agg(((at(low) + at(high)) / 2.0).alias("median"))
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -21,6 +21,17 @@ def test_medians_and_modes(spark):
     assert stats.modes(frame, ["z"]).first()["mode"] == min(set(values), key=lambda v: (-values.count(v), v))
 
 
+@pytest.mark.parametrize("width", [0.001, 0.2, -0.3])
+def test_medians_of_many_values(spark, monkeypatch, width):
+    """Also with a range that misses the middle (a negative width)."""
+    monkeypatch.setattr(stats, "_NEAR_MIDDLE", width)
+    rng = random.Random(8)
+    rows = [(rng.gauss(0, 1), float(i % 3), None if i % 2 else float("nan")) for i in range(3001)]
+    frame = spark.createDataFrame(rows, "x double, y double, z double")
+    got = {r[0]: r[1] for r in stats.exact_medians(frame, ["x", "y", "z"]).collect()}
+    assert got == {"x": statistics.median(r[0] for r in rows), "y": statistics.median(r[1] for r in rows)}
+
+
 def test_mode_ties_take_the_smallest(spark):
     frame = spark.createDataFrame([("b",), ("a",), (None,)], "z string")
     assert [r[0] for r in stats.fill_modes(frame, ["z"]).collect()] == ["b", "a", "a"]
