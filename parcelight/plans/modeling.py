@@ -121,9 +121,12 @@ def preprocessing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     """
     doubles = ", ".join(f"cast({c} as double) as {c}__d" for c in numeric)
     common = {r["column_name"]: r["mode"] for r in modes(df, categorical).collect()} if categorical else {}
+
+    def quoted(name: str) -> str:
+        return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     filled = ", ".join(
-        "coalesce({c}, '{m}') as {c}__f".format(c=c, m=str(common.get(c, "unknown")).replace("'", "\\'"))
-        for c in categorical
+        f"coalesce({c}, {quoted(str(common.get(c, 'unknown')))}) as {c}__f" for c in categorical
     )
     extra = ", ".join(part for part in (doubles, filled) if part)
     stages = [

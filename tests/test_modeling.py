@@ -58,6 +58,15 @@ def test_unseen_category_and_null_values_score(spark, parts, logistic):
     assert all(r["predicted_late"] == int(r["probability_late"] >= 0.5) for r in scored)
 
 
+def test_a_common_category_may_hold_quotes(spark):
+    odd = "it's a \\ name"
+    rows = [(i, i % 2, float(i % 7), odd if i % 3 else None) for i in range(60)]
+    frame = spark.createDataFrame(rows, "order_id long, target_late int, x double, c string")
+    model = modeling.fit_logistic(frame, max_iter=5)
+    filled = model.stages[0].transform(frame).select("c__f").distinct().collect()
+    assert [r[0] for r in filled] == [odd]
+
+
 def test_missing_feature_is_an_error(parts, logistic):
     needed = sum(modeling.feature_columns(parts[0]), [])
     with pytest.raises(KeyError, match="n_items"):
