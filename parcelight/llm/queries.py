@@ -6,15 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelight.llm import toxicity
+from parcelight.llm import packing, quality_classifier, quality_rules, toxicity
 from parcelight.llm.common import documents, table
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, folder))
+
+
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.quality_grades(documents(spark, folder), table(spark, folder, "labels"))
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, folder))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, folder), table(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
 
