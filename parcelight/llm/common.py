@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
-from itertools import islice
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,15 @@ ARROW_ROWS = 256
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Runtime settings for long texts."""
+    """Runtime settings for long texts; Python workers find this package where the driver does.
+
+    A cluster gets the package by ``--py-files`` or an installation; there the
+    added path does nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     tuned(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 
@@ -63,7 +72,3 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             part = batch.slice(start, 64)
             yield from zip(*[part.column(n).to_pylist() for n in names], strict=True)
 
-
-def chunked(items: Iterator, n: int) -> Iterator[list]:
-    while group := list(islice(items, n)):
-        yield group

@@ -22,6 +22,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -29,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import by_size, chunked, rows_of, text_of
+from parcelight.llm.common import by_size, rows_of, text_of
 from parcelight.session import cut_lineage
 
 SEQUENCE = 4096
 END_OF_TEXT = 1
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 500_000
+_MARKS = ".,;:!?*&%#"
 
 
 class WordTokens:
@@ -63,64 +65,59 @@ class WordTokens:
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in set(printed))}
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _slow(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _plain(self, word: str) -> str | None:
+    def _latin(self, word: str) -> str | None:
         """The word as its merges read it, if it is nothing but Latin letters."""
-        if not word.isalpha() or len(word) > 1000:
-            return None
-        if word.isascii():
-            return word.lower()
-        if max(word) >= "ƀ":
+        if not word.isalpha() or max(word) >= "ƀ":
             return None
         word = unicodedata.normalize("NFC", word).lower()
         if not word.isalpha():
             return None
         return word.encode().decode("latin-1").translate(self.letters)
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > _CACHED_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        stems, plain, late = [], [], []
-        asked = set()
-        for w in new:
-            stem = w[:-1] if w[-1] in ".,;:!?" else w
-            if stem in self.known or stem in asked:
-                late.append((w, stem))
-                continue
-            form = self._plain(stem)
-            if form is None:
-                self.known[w] = self._slow(w)
-            else:
-                asked.add(stem)
-                stems.append(stem)
-                plain.append(form)
-                late.append((w, stem))
-        for group in chunked(iter(range(len(plain))), 4000):
-            text = " ".join(plain[i] for i in group)
+    def _merge(self, words: list[str], forms: list[str]) -> None:
+        """Ids of words that are one unit each, from one run of the merges over many."""
+        for at in range(0, len(words), 4000):
+            group = words[at : at + 4000]
+            text = " ".join(forms[at : at + 4000])
             ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cuts) != len(group):
-                for i in group:
-                    self.known[stems[i]] = self._slow(stems[i])
+                self.known.update((w, self._slow(w)) for w in group)
                 continue
-            raw, at = ids.tobytes(), 0
-            for i, cut in zip(group, cuts.tolist(), strict=True):
-                self.known[stems[i]] = raw[at:cut]
-                at = cut
-        for w, stem in late:
-            if w != stem:
-                if not stem.isalpha():  # a mark after another mark belongs to its unit
-                    self.known[w] = self._slow(w)
-                else:
-                    self.known[w] = self.known[stem] + self._mark(w[-1])
+            raw, starts = ids.tobytes(), [0, *cuts.tolist()]
+            self.known.update(zip(group, [raw[i:j] for i, j in pairwise(starts)], strict=True))
 
-    @lru_cache(maxsize=16)  # noqa: B019
-    def _mark(self, mark: str) -> bytes:
-        return self._slow(mark)
+    def learn(self, words: set[str]) -> None:
+        if len(self.known) > _CACHED_WORDS:
+            self.known = {}
+        known = self.known
+        new = list(words.difference(known))
+        stems = [w.rstrip(_MARKS) for w in new]
+        todo = list(set(stems).difference(known))
+        plain = [s for s in todo if s.isascii() and s.isalpha()]
+        if plain:
+            self._merge(plain, " ".join(plain).lower().split(" "))
+        others = [(s, f) for s in todo if not s.isascii() and (f := self._latin(s)) is not None]
+        if others:
+            self._merge([s for s, _ in others], [f for _, f in others])
+        marks, slow = self.marks, self._slow
+        for w, s in zip(new, stems, strict=True):
+            if w not in known:
+                # marks after plain letters are one unit of the splitting rule
+                if s.isalpha() and s in known and (s.isascii() or self._latin(s) is not None):
+                    tail = w[len(s) :]
+                    if tail not in marks:
+                        marks[tail] = slow(tail)
+                    known[w] = known[s] + marks[tail]
+                else:
+                    known[w] = slow(w)
+        if len(marks) > 10_000:
+            self.marks = {}
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         # U+001C to U+001F part words in Python but not for the tokenizer
