@@ -50,7 +50,7 @@ def prior_totals(
     counts as zero and the first row of a key gets zero.
     """
     blocked = in_blocks(df, order_by, partition_by, blocks)
-    return prior_totals_in_blocks(blocked, order_by, values, partition_by)
+    return prior_totals_in_blocks(blocked, order_by, values, partition_by, blocks)
 
 
 def prior_totals_in_blocks(
@@ -58,11 +58,12 @@ def prior_totals_in_blocks(
     order_by: Sequence[str],
     values: Mapping[str, Column],
     partition_by: Sequence[str] = (),
+    blocks: int | None = None,
 ) -> DataFrame:
     """``prior_totals`` of rows that are in blocks of the same order already."""
     keys = list(partition_by)
     names = list(values)
-    n_blocks = max(blocked.rdd.getNumPartitions(), 1)
+    n_blocks = blocks or int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per_block = blocked.groupBy(_BLOCK, *keys).agg(
         *[F.coalesce(F.sum(values[n]), F.lit(0)).alias(n) for n in names]
     )
