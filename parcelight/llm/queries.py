@@ -6,10 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelight.llm import packing, quality_classifier, quality_rules, toxicity
+from parcelight.llm import (
+    fingerprints,
+    license_scan,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    toxicity,
+)
 from parcelight.llm.common import documents, table
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_digest(documents(spark, folder))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, folder))
 
@@ -18,6 +31,18 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.quality_grades(documents(spark, folder), table(spark, folder, "labels"))
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_digest(documents(spark, folder))
+
+
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(documents(spark, folder))
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, folder))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(documents(spark, folder))
 
@@ -27,10 +52,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_mixing": mixing.MIXING_SQL}
