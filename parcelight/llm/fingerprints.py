@@ -85,15 +85,24 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
         marks = F.array(*[F.lit(b).cast("bigint") for b in borders])
         block = F.coalesce(F.size(F.filter(marks, lambda b: b < F.col("__id"))), F.lit(0))
     order = ["__id", "__text"]
-    ranged = slim.withColumn("__block", block).repartitionById(max(n, 1), "__block")
+    ranged = slim.withColumn("__block", block)
     inside = Window.partitionBy("__block").orderBy(*order)
     rows = ranged.select("*", F.lead("__text").over(inside).alias("__follows"))
-    firsts = slim.withColumn("__block", block).groupBy("__block").agg(F.min(F.struct(F.coalesce(F.col("__id"), F.lit(-(1 << 63))), F.col("__text"))).alias("__first"))
+    # the smallest id of each filled range, at most ``n`` numbers, null among them
+    smallest = slim.select("__id").withColumn("__block", block).groupBy("__block").agg(
+        F.min("__id").alias("__least"), F.max(F.col("__id").isNull()).alias("__null")
+    )
+    least = [None if r["__null"] else r["__least"] for r in smallest.collect()]
+    known = [i for i in least if i is not None]
+    wanted = F.col("__id").isin(known) if known else F.lit(False)
+    if None in least:
+        wanted = wanted | F.col("__id").isNull()
+    firsts = slim.where(wanted).withColumn("__block", block).groupBy("__block").agg(F.min("__text").alias("__first"))
     # one row a block; its order needs no more than the numbers of the blocks
     over = Window.orderBy("__block")
     carried = firsts.select(
         F.col("__block").alias("__of"),
-        F.coalesce(F.lead("__first").over(over), F.first("__first").over(over))["__text"].alias("__carried"),
+        F.coalesce(F.lead("__first").over(over), F.first("__first").over(over)).alias("__carried"),
     )
     return rows.join(carried, F.col("__block") == F.col("__of")).select(
         "doc_id", "__text", F.coalesce("__follows", "__carried").alias("__next")
