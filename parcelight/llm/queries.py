@@ -10,6 +10,7 @@ from parcelight.llm import (
     fingerprints,
     license_scan,
     mixing,
+    near_duplicates,
     packing,
     quality_classifier,
     quality_rules,
@@ -23,6 +24,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_digest(documents(spark, folder))
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, folder)).drop("__row")
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, folder))
 
@@ -53,6 +58,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_secret_scan": op5_secret_scan,
