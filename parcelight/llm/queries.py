@@ -15,6 +15,7 @@ from parcelight.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     toxicity,
 )
 from parcelight.llm.common import documents, table
@@ -40,6 +41,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_digest(documents(spark, folder))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_digest(documents(spark, folder))
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_edits(documents(spark, folder))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_secret_scan": op5_secret_scan,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_fingerprints": op7_fingerprints,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
