@@ -1,15 +1,89 @@
-"""From raw documents to packed training sequences, as stages from DataFrame to DataFrame."""
+"""From raw documents to packed training sequences, as stages from DataFrame to DataFrame.
+
+Each stage reads what the one before kept (a stored table, read again) and all
+but the last return the columns of the documents.  Extra columns pass through.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from parcelight.llm import common, mixing, near_duplicates, packing, secret_scan, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject at the threshold of their language."""
+    common.prepared(spark)
+    model = toxicity.train_toxicity(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model, tuple(docs.columns)).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of copies and near copies, the one with the smallest id."""
+    common.prepared(spark)
+    return near_duplicates.one_of_each(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret replaced by the name of its kind and ``n_chars`` counted anew where one was."""
+    common.prepared(spark)
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    found = (
+        secret_scan.scan_secrets(numbered.select("__row", "text"), ("__row",))
+        .where(F.size("spans") > 0)
+        .select(F.col("__row").alias("__of"), "spans")
+    )
+    told = numbered.join(found, F.col("__row") == F.col("__of"), "left").withColumn(
+        "__clean", F.when(F.col("spans").isNotNull(), secret_scan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    )
+    changed = {"text": F.col("__clean")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("spans").isNotNull(), F.length("__clean").cast("bigint")).otherwise(F.col("n_chars"))
+    return told.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated as the mix takes them; the one that is taken in part stays if that is half of it or more."""
+    common.prepared(spark)
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    taken = (
+        mixing.mix_sources(numbered.select("doc_id", "text", "source", "__row"), keep=("__row",))
+        .where("size > 0")
+        .select(F.col("__row").alias("__of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times"))
+        .where("__times > 0")
+    )
+    return (
+        numbered.join(taken, F.col("__row") == F.col("__of"))
+        .withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+        .select(*docs.columns)
+    )
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of every row with the sequence and place that each got."""
+    common.prepared(spark)
+    return packing.packed_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_to_weights),
+    ("packing", pack_sequences),
+]
+
+ORACLE_SQL = None  # trained, hashed and evolved results; tests/llm compares stages with brute force
 
-ORACLE_SQL = None
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents of a folder; each stage is stored in the shared folder."""
+    from parcelight.session import shared_path
 
-def run(spark, sf_dir):
-    """The rows of the last stage over the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = common.documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        path = shared_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
