@@ -25,6 +25,7 @@ costs a block one name, and no group is ever gathered.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,8 +145,9 @@ class Names:
         self.which[order] = np.cumsum(new) - 1
         self.twice = np.bincount(self.which, minlength=len(self.high)) > 1
 
-    def messages(self, buckets: int) -> Iterator[tuple[int, bytes]]:
-        """Runs of names for each bucket, a range of the names."""
+    def messages(self, buckets: int, flags: np.ndarray | None = None) -> Iterator[tuple[int, bytes]]:
+        """Runs of names for each bucket, a range of the names; ``flags`` go in the place of the last byte."""
+        low = self.low if flags is None else flags.astype(np.uint8)
         places = ((self.high >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         edges = np.searchsorted(places, np.arange(buckets + 1, dtype=np.uint64))
         press = zstandard.ZstdCompressor(level=1)
@@ -154,7 +156,7 @@ class Names:
             if i < j:
                 steps = np.diff(self.high[i:j], prepend=np.uint64(0))
                 planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes()  # high bytes of small steps are zero
-                yield b, press.compress(planes + self.low[i:j].tobytes())
+                yield b, press.compress(planes + low[i:j].tobytes())
 
 
 def _read_names(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -184,8 +186,19 @@ def _answer(group):
     return pd.DataFrame({"block": group["block"], "turn": group["turn"], "bucket": group["bucket"], "size": sizes, "answer": answers})
 
 
-def _answers(messages: DataFrame) -> DataFrame:
-    return messages.groupBy("bucket").applyInPandas(_answer, "block bigint, turn int, bucket int, size bigint, answer binary")
+def _answer_any(group):
+    """For every block's names: whether any block flags them."""
+    parts = [_read_names(x) for x in group["data"]]
+    sizes = [len(p[0]) for p in parts]
+    _, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    which, flags = which.ravel(), np.concatenate([p[1] for p in parts])
+    flagged = (np.bincount(which, flags) > 0)[which]
+    answers = [np.packbits(np.concatenate([x, x])).tobytes() for x in np.split(flagged, np.cumsum(sizes)[:-1])]
+    return pd.DataFrame({"block": group["block"], "turn": group["turn"], "bucket": group["bucket"], "size": sizes, "answer": answers})
+
+
+def _answers(messages: DataFrame, answer=_answer) -> DataFrame:
+    return messages.groupBy("bucket").applyInPandas(answer, "block bigint, turn int, bucket int, size bigint, answer binary")
 
 
 def _bits(answers: pd.DataFrame, turn: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,9 +224,12 @@ class Search:
 
     def ask_sample(self, block: Block) -> tuple[np.ndarray, Names]:
         at = block.sampled(self.short, self.modulus, self.cover)
+        return at, self._sample_names(block, at)
+
+    def _sample_names(self, block: Block, at: np.ndarray) -> Names:
+        # these only rule out, so 48 bits are enough
         h = block.digest(at, self.short, 0)
-        # a filter: 48 bits are enough
-        return at, Names(h & np.uint64(0xFFFFFFFFFFFF0000), np.zeros(len(h), np.uint8))
+        return Names(h & np.uint64(0xFFFFFFFFFFFF0000), np.zeros(len(h), np.uint8))
 
     def _names(self, block: Block, at: np.ndarray, length: int) -> Names:
         return Names(block.digest(at, length, 0), (block.digest(at, length, 1) >> np.uint64(56)).astype(np.uint8))
@@ -232,18 +248,40 @@ class Search:
             inside[max(e - n, e - self.length + 1) : e] = False
         return inside
 
-    def ask_rest(self, block: Block, sampled: np.ndarray, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, Names]:
-        """Proven starts, the starts asked about, and their names."""
+    def _possible(self, block: Block, sampled: np.ndarray) -> np.ndarray:
+        begin = block.starts[block.document_of(sampled)]
+        return self._starts(block, np.maximum(sampled - self.modulus + 1, begin), sampled)
+
+    def _proven(self, block: Block, sampled: np.ndarray, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Starts proven to be repeated, and those of them that this block stands for."""
         at, names = self.ask_long(block, sampled)
         again, first = _bits(answers, 1, len(names.high))
-        proven_names = again | names.twice
-        proven_at = at[proven_names[names.which]]
-        proven = self._starts(block, proven_at, proven_at + self.modulus - 1)
-        shown_at = at[(proven_names & first)[names.which]]
-        shown = self._starts(block, shown_at, shown_at + self.modulus - 1)
+        repeated = again | names.twice
+        proven_at, own_at = at[repeated[names.which]], at[(repeated & first)[names.which]]
+        return (
+            self._starts(block, proven_at, proven_at + self.modulus - 1),
+            self._starts(block, own_at, own_at + self.modulus - 1),
+        )
+
+    def ask_open(self, block: Block, sampled: np.ndarray, answers: pd.DataFrame) -> tuple[Names, np.ndarray]:
+        """Names of the sampled tuples, and which of them lie near a start that is neither proven nor ruled out."""
+        proven, _ = self._proven(block, sampled, answers)
+        open_before = np.concatenate([[0], np.cumsum(self._possible(block, sampled) & ~proven)])
         begin = block.starts[block.document_of(sampled)]
-        possible = self._starts(block, np.maximum(sampled - self.modulus + 1, begin), sampled)
-        asked = np.flatnonzero((possible & ~proven) | shown)
+        near = open_before[sampled + 1] > open_before[np.maximum(sampled - self.modulus + 1, begin)]
+        names = self._sample_names(block, sampled)
+        return names, np.bincount(names.which, near, minlength=len(names.high)) > 0
+
+    def ask_rest(self, block: Block, sampled: np.ndarray, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, Names]:
+        """Proven starts, the starts asked about, and their names.
+
+        Besides the open starts a block names the proven ones that it stands for,
+        where a tuple near them lies near an open start of any block.
+        """
+        proven, own = self._proven(block, sampled, answers)
+        names = self._sample_names(block, sampled)
+        wanted, _ = _bits(answers, 3, len(names.high))
+        asked = np.flatnonzero((self._possible(block, sampled) & ~proven) | (own & self._possible(block, sampled[wanted[names.which]])))
         return proven, asked, self._names(block, asked, self.length)
 
     def spans(self, block: Block, sampled: np.ndarray, answers: pd.DataFrame) -> Iterator[tuple]:
@@ -341,6 +379,13 @@ def repeated_spans(docs: DataFrame, length: int = 200, block_chars: int = 2_000_
             at = np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(steps), "<u4").astype(np.int64))
             yield block, Block.unpacked(raw), at
 
+    def ask_open(_key, left, right):
+        out = []
+        for block, content, at in carried(left):
+            names, flags = search.ask_open(content, at, right)
+            out += [(block, 3, b, x) for b, x in names.messages(buckets, flags)]
+        return pd.DataFrame(out, columns=["block", "turn", "bucket", "data"])
+
     def ask_rest(_key, left, right):
         out = []
         for block, content, at in carried(left):
@@ -355,15 +400,23 @@ def repeated_spans(docs: DataFrame, length: int = 200, block_chars: int = 2_000_
     message = "block bigint, turn int, bucket int, data binary"
     together = lambda left, right: left.groupBy("block").cogroup(right.groupBy("block"))
     first = _answers(slim.mapInArrow(ask, message))
-    sifted = cut_lineage(together(slim.mapInArrow(pack, "block bigint, data binary"), first).applyInPandas(sift, _MIXED))
-    blocks = sifted.where("turn = -1").select("block", "data", "at")
-    second = cut_lineage(_answers(sifted.where("turn = 1").select("block", "turn", "bucket", "data")))
-    third = cut_lineage(_answers(together(blocks, second).applyInPandas(ask_rest, message)))
-    done = together(blocks, second.unionByName(third)).applyInPandas(finish, _RESULT)
-    whole = sifted.where(F.col("__row").isNotNull()).select(
-        "__row", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.array().cast("array<array<bigint>>").alias("spans"), "kept_sha256"
-    )
-    results = whole.unionByName(done)
+    # bucketed by block, so that the blocks are not shuffled again in the turns below
+    store = f"suffix_blocks_{uuid.uuid4().hex}"
+    packed = slim.mapInArrow(pack, "block bigint, data binary")
+    try:
+        together(packed, first).applyInPandas(sift, _MIXED).write.bucketBy(buckets, "block").saveAsTable(store)
+        sifted = spark.table(store)
+        blocks = sifted.where("turn = -1").select("block", "data", "at")
+        answers = cut_lineage(_answers(sifted.where("turn = 1").select("block", "turn", "bucket", "data")))
+        answers = answers.unionByName(cut_lineage(_answers(together(blocks, answers).applyInPandas(ask_open, message), _answer_any)))
+        answers = answers.unionByName(cut_lineage(_answers(together(blocks, answers).applyInPandas(ask_rest, message))))
+        done = together(blocks, answers).applyInPandas(finish, _RESULT)
+        whole = sifted.where(F.col("__row").isNotNull()).select(
+            "__row", "n_bytes", F.lit(0).cast("bigint").alias("n_removed"), F.array().cast("array<array<bigint>>").alias("spans"), "kept_sha256"
+        )
+        results = cut_lineage(whole.unionByName(done))
+    finally:
+        spark.sql(f"drop table if exists {store}")
     ids = numbered.select(F.col("__row").alias("__of"), "doc_id")
     return ids.join(results, F.col("__row") == F.col("__of")).select("__row", "doc_id", "n_bytes", "n_removed", "spans", "kept_sha256")
 
