@@ -16,7 +16,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject at the threshold of their language."""
     common.prepared(spark)
     model = toxicity.train_toxicity(docs, common.table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model, tuple(docs.columns)).where(~F.col("toxic")).select(*docs.columns)
+    return toxicity.without_toxic(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,35 +28,35 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by the name of its kind and ``n_chars`` counted anew where one was."""
     common.prepared(spark)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    inner, named = common.set_apart(docs)
     found = (
-        secret_scan.scan_secrets(numbered.select("__row", "text"), ("__row",))
+        secret_scan.scan_secrets(inner.select("__at", named["text"]), ("__at",))
         .where(F.size("spans") > 0)
-        .select(F.col("__row").alias("__of"), "spans")
+        .select(F.col("__at").alias("__of"), "spans")
     )
-    told = numbered.join(found, F.col("__row") == F.col("__of"), "left").withColumn(
-        "__clean", F.when(F.col("spans").isNotNull(), secret_scan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    )
-    changed = {"text": F.col("__clean")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("spans").isNotNull(), F.length("__clean").cast("bigint")).otherwise(F.col("n_chars"))
-    return told.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    clean = F.when(F.col("spans").isNotNull(), secret_scan.redacted(named["text"], F.col("spans"))).otherwise(named["text"])
+    told = inner.join(found, F.col("__at") == F.col("__of"), "left").withColumn("__clean", clean)
+    changed = {"text": F.col("__clean").alias("text")}
+    if "n_chars" in named:
+        counted = F.when(F.col("spans").isNotNull(), F.length("__clean").cast("bigint")).otherwise(named["n_chars"])
+        changed["n_chars"] = counted.alias("n_chars")
+    return told.select(*[changed.get(c, named[c]) for c in docs.columns])
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as the mix takes them; the one that is taken in part stays if that is half of it or more."""
     common.prepared(spark)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    inner, named = common.set_apart(docs)
     taken = (
-        mixing.mix_sources(numbered.select("doc_id", "text", "source", "__row"), keep=("__row",))
+        mixing.mix_sources(inner.select(named["doc_id"], named["text"], named["source"], "__at"), keep=("__at",))
         .where("size > 0")
-        .select(F.col("__row").alias("__of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times"))
+        .select(F.col("__at").alias("__of"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times"))
         .where("__times > 0")
     )
     return (
-        numbered.join(taken, F.col("__row") == F.col("__of"))
+        inner.join(taken, F.col("__at") == F.col("__of"))
         .withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(*docs.columns)
+        .select(*named.values())
     )
 
 

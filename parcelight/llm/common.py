@@ -47,6 +47,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The rows under names that clash with no other, with ``__at``, their place in the read.
+
+    The second value gives each column of ``docs`` under its own name again.  The
+    place is the same in each read of a stored table.
+    """
+    names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.monotonically_increasing_id().alias("__at"))
+    return inner, {c: F.col(n).alias(c) for c, n in names.items()}
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """One fifth of the ids, chosen by checksum; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import by_size, rows_of, text_of
+from parcelight.llm.common import by_size, rows_of, set_apart, text_of
 from parcelight.llm.components import connected
 from parcelight.operators.prefix import prior_totals
 from parcelight.session import cut_lineage
@@ -323,5 +323,5 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each class is kept, with all their columns."""
     kept = near_duplicates(docs, **options).where("kept").select(F.col("__row").alias("__kept_row"))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(kept, F.col("__row") == F.col("__kept_row"), "left_semi").drop("__row")
+    inner, named = set_apart(docs)
+    return inner.join(kept, F.col("__at") == F.col("__kept_row"), "left_semi").select(*named.values())

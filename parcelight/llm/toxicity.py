@@ -293,17 +293,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = 3000, **optio
     return fit_toxicity([r[1] for r in sample], [r[3] for r in sample], [r[2] for r in sample], prior, **options)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``score`` and ``toxic`` (score against the threshold of the row's language).
-
-    One row for each input row, repeated rows included; a null or empty text has
-    no words and gets the score of no evidence.  Texts of any length are scored
-    whole, a step of words at a time.  A null or unseen language has the common
-    threshold.
-    """
+def _scored(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` columns as __k0, __k1 and so on, with score and toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: buckets x dims
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    slim = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], text_of().alias("__text"), lang.alias("__lang"))
+    slim = docs.select(*[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)], text_of().alias("__text"), lang.alias("__lang"))
     names = [f"__k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,8 +316,24 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]
             )
 
     schema = ", ".join([*[f"__k{i} {slim.schema[f'__k{i}'].dataType.simpleString()}" for i in range(len(keep))], "score double, toxic boolean"])
-    scored = slim.mapInArrow(run, schema)
-    return scored.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "score", "toxic")
+    return slim.mapInArrow(run, schema)
+
+
+def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``score`` and ``toxic`` (score against the threshold of the row's language).
+
+    One row for each input row, repeated rows included; a null or empty text has
+    no words and gets the score of no evidence.  Texts of any length are scored
+    whole, a step of words at a time.  A null or unseen language has the common
+    threshold.
+    """
+    return _scored(docs, model, keep).select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "score", "toxic")
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows that are not toxic, with all their columns."""
+    kept = _scored(docs, model, tuple(docs.columns)).where(~F.col("toxic"))
+    return kept.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
