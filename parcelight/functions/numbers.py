@@ -13,13 +13,13 @@ def round_half_up(value: Column, digits: int) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum that does not depend on row order.
+    """Sum of amounts, to be rounded once, at its end.
 
-    Amounts are added as whole ten-thousandths, which is exact and, unlike a
-    wide decimal, a plain long in the aggregation buffer.  A sum beyond the
-    range of a long raises under ANSI mode, the default.
+    Nothing is rounded before it is added, so amounts of any size count.  Sums
+    of amounts with two decimals lie far from a rounding edge, so the order of
+    rows does not show in the rounded sum.
     """
-    return F.sum(F.floor(value * 10000.0 + 0.5)) / 10000.0
+    return F.sum(value)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

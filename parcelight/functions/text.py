@@ -56,7 +56,7 @@ def age_bucket(age: Column) -> Column:
     """Age band; an unknown age falls into the last one."""
     label = F.lit(LAST_AGE_BUCKET)
     for name, upper in reversed(AGE_BUCKETS):
-        label = F.when(age <= upper, name).otherwise(label)
+        label = F.when(F.floor(age) <= upper, name).otherwise(label)
     return label
 
 

@@ -332,18 +332,19 @@ def model_metadata(
     }
 
 
+_LOADED: dict[str, tuple[str, PipelineModel]] = {}
+
+
 def save_model(spark: SparkSession, model: PipelineModel, metadata: dict, folder: str) -> None:
+    _LOADED.pop(folder, None)
     model.write().overwrite().save(f"{folder}/model")
     text = spark.createDataFrame([(json.dumps(metadata),)], "value string")
     text.coalesce(1).write.mode("overwrite").text(f"{folder}/metadata")
 
 
-_LOADED: dict[str, tuple[PipelineModel, dict]] = {}
-
-
 def load_model(spark: SparkSession, folder: str) -> tuple[PipelineModel, dict]:
-    """Model and metadata, read once per folder."""
-    if folder not in _LOADED:
-        metadata = json.loads(spark.read.text(f"{folder}/metadata").first()["value"])
-        _LOADED[folder] = (PipelineModel.load(f"{folder}/model"), metadata)
-    return _LOADED[folder]
+    """Model and metadata; a model is kept as long as its metadata stays the same."""
+    text = spark.read.text(f"{folder}/metadata").first()["value"]
+    if folder not in _LOADED or _LOADED[folder][0] != text:
+        _LOADED[folder] = (text, PipelineModel.load(f"{folder}/model"))
+    return _LOADED[folder][1], json.loads(text)

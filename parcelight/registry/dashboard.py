@@ -26,7 +26,7 @@ def _days_as_text(df: DataFrame) -> DataFrame:
 
 
 def _kpi_sql(source: str) -> str:
-    money = "cast(sum(cast(total_price as decimal(18,4))) as double)"
+    money = "sum(total_price)"
     return f"""select count(*) as orders, {rounded(money, 2)} as total_revenue,
         {rounded("avg(delivery_days)", 4)} as avg_delivery_days,
         {rounded("avg(avg_review_score)", 4)} as avg_review,
@@ -75,7 +75,7 @@ SPECS: dict[str, Spec] = {
         MART_VIEWS,
         _CHAIN
         + f"""select customer_state,
-            {rounded("cast(sum(cast(total_price as decimal(18,4))) as double)", 2)} as revenue,
+            {rounded("sum(total_price)", 2)} as revenue,
             count(distinct order_id) as orders from delivered
         where customer_state is not null group by 1""",
     ),

@@ -22,12 +22,9 @@ from parcelight.registry.orders import (
     mart,
 )
 from parcelight.registry.spec import Spec, rounded
-from parcelight.session import cut_lineage
+from parcelight.session import cut_lineage, shared_path
 from parcelight.sources.fixtures import Inputs
 
-# Training in the registered queries uses smaller forests than the defaults.
-TREES, LIGHT_TREES = 20, 20
-
 _NUMERIC = ("n_items", "total_price", "total_freight", "freight_to_price_ratio",
             "payment_installments", "promised_days")
 _TEXT = ("payment_type", "product_category")
@@ -129,22 +126,34 @@ def _train_logistic(i: Inputs) -> DataFrame:
     return _report_frame(i, result, train, test)
 
 
+_FORESTS: dict[tuple[str, str], str] = {}
+
+
+def _forest(i: Inputs, train: DataFrame):
+    """The forest over an input, fitted once in an application, then loaded from the shared folder."""
+    key = (i.spark.sparkContext.applicationId, i.folder)
+    if key not in _FORESTS:
+        folder = shared_path(i.spark, "forest")
+        modeling.save_model(i.spark, modeling.fit_forest(train), {"model": "RandomForest", "input": i.folder}, folder)
+        _FORESTS[key] = folder
+    return modeling.load_model(i.spark, _FORESTS[key])[0]
+
+
 def _train_forest(i: Inputs) -> DataFrame:
     train, test = _model_parts(i)
-    result = modeling.evaluate("RandomForest", modeling.fit_forest(train, trees=TREES), test)
+    result = modeling.evaluate("RandomForest", _forest(i, train), test)
     return _report_frame(i, result, train, test)
 
 
 def _train_light(i: Inputs) -> DataFrame:
     train, test = _parts(modeling.light_model_dataset(mart(i)), ["order_id"])
-    result = modeling.evaluate("LightForest", modeling.fit_light_forest(train, trees=LIGHT_TREES), test)
+    result = modeling.evaluate("LightForest", modeling.fit_light_forest(train), test)
     return _report_frame(i, result, train, test)
 
 
 def _importances(i: Inputs) -> DataFrame:
     train, _ = _model_parts(i)
-    model = modeling.fit_forest(train, trees=TREES)
-    return modeling.feature_importances(i.spark, modeling.top_importances(model, train))
+    return modeling.feature_importances(i.spark, modeling.top_importances(_forest(i, train), train))
 
 
 def _score_orders(i: Inputs) -> DataFrame:

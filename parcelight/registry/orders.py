@@ -34,7 +34,7 @@ def trunc_days_sql(start: str, end: str) -> str:
 
 
 def money_sql(column: str) -> str:
-    return rounded(f"cast(sum(cast({column} as decimal(18,4))) as double)", 2)
+    return rounded(f"sum({column})", 2)
 
 
 ITEM_COLUMNS_SQL = f"""count(distinct i.order_item_id) as n_items,

@@ -50,10 +50,6 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return raw.select(*[typed(f) for f in schema.fields])
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
