@@ -297,8 +297,11 @@ def _scored(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]) -> Dat
     """``keep`` columns as __k0, __k1 and so on, with score and toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: buckets x dims
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    slim = docs.select(*[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)], text_of().alias("__text"), lang.alias("__lang"))
     names = [f"__k{i}" for i in range(len(keep))]
+    # a kept text travels to the workers once
+    read = names[keep.index("text")] if "text" in keep else "__text"
+    extra = [] if "text" in keep else [text_of().alias("__text")]
+    slim = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *extra, lang.alias("__lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -306,7 +309,7 @@ def _scored(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]) -> Dat
         for batch in batches:
             scores = np.empty(batch.num_rows)
             done = 0
-            for group in by_size(rows_of(iter([batch]), "__text"), lambda r: len(r[0]), 2_000_000):
+            for group in by_size(rows_of(iter([batch]), read), lambda r: len(r[0] or ""), 2_000_000):
                 scores[done : done + len(group)] = m.scores([words_of(r[0]) for r in group], cache)
                 done += len(group)
             limits = np.array([m.thresholds.get(x or "", m.threshold) for x in batch.column("__lang").to_pylist()])
