@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelight.operators.orders import order_mart
@@ -42,7 +41,7 @@ def store_order_mart(
 
 
 def store_review_index(
-    spark: SparkSession, reviews: DataFrame, path: str, encoder: PipelineModel
+    spark: SparkSession, reviews: DataFrame, path: str, encoder: DataFrame
 ) -> DataFrame:
     """Chunk and embed reviews and append what the index does not hold yet."""
     return append_to_index(spark, path, review_index(reviews, encoder))

@@ -9,10 +9,10 @@ from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 
 # The text operators are tested in tests/llm.
 ORACLES = {name: sql for name, sql in oracle_sql().items() if name not in LLM_QUERIES}
-# Model training and encoders, which SQL cannot express.
+# Model training, which SQL cannot express.
 ROWS_ONLY = {
     "train_logistic", "train_forest", "train_light_forest", "feature_importances",
-    "score_orders", "embed_chunks", "review_index",
+    "score_orders",
 }
 
 
