@@ -137,6 +137,7 @@ def outlier_profile(df: DataFrame) -> DataFrame:
 
 # ---- cleaning ----------------------------------------------------------------
 
+TEXT_COLUMNS = ("title", "review_text")
 CATEGORY_COLUMNS = ("division_name", "department_name", "class_name")
 
 
@@ -153,13 +154,21 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.where(complete)
 
 
-def drop_copies(df: DataFrame, key: str | None = "review_id") -> DataFrame:
+def drop_copies(df: DataFrame, key: str | None = "review_id", texts: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     """Keep one of each set of equal rows; the key, which numbers the rows and
-    is not part of their content, is the lowest of the set."""
-    if key is None or key not in df.columns:
-        return df.dropDuplicates()
+    is not part of their content, is the lowest of the set.
+
+    Rows meet by their digest.  The columns in ``texts`` are carried along only
+    for who reads them afterwards; a question about other columns shuffles no text.
+    """
+    key = key if key in df.columns else None
     content = [c for c in df.columns if c != key]
-    return df.groupBy(*content).agg(F.min(key).alias(key)).select(*df.columns)
+    carried = [c for c in content if c in texts]
+    narrow = [c for c in content if c not in texts]
+    found = [F.any_value(c).alias(c) for c in carried]
+    kept = [F.min(key).alias(key)] if key else [F.count(F.lit(1)).alias("__copies")]
+    met = df.withColumn("__digest", row_digest(content)).groupBy("__digest", *narrow).agg(*kept, *found)
+    return met.select(*df.columns)
 
 
 def clip_rating(df: DataFrame) -> DataFrame:

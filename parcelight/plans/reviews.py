@@ -86,21 +86,24 @@ def lowest_recommended_classes(reviews: DataFrame, n: int = 5) -> DataFrame:
 def bottom_class_ratings(reviews: DataFrame, n: int = 5, min_reviews: int = 20) -> DataFrame:
     """Rating distribution of the least recommended classes with enough reviews.
 
-    The reviews are read once, down to (class, rating) counts; the choice of
-    classes and the result both come from those.
+    The reviews are read once, down to (class, rating) counts.  A class carries
+    its counts, one for each rating, through the choice of classes.
     """
     cells = reviews.groupBy("class_name", "rating").agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("recommended_ind").alias("recommended")
     )
     classes = (
         cells.groupBy("class_name")
-        .agg(F.sum("cnt").alias("n"), F.sum("recommended").alias("r"))
-        .where(F.col("n") >= min_reviews)
+        .agg(
+            F.sum("cnt").alias("n"),
+            F.sum("recommended").alias("r"),
+            F.collect_list(F.struct("rating", "cnt", "recommended")).alias("ratings"),
+        )
+        .where((F.col("n") >= min_reviews) & F.col("class_name").isNotNull())
     )
     bottom = top_rows(classes, [F.asc(F.col("r") / F.col("n")), F.asc("class_name")], n)
     return (
-        # the limit above bounds the broadcast to n rows
-        cells.join(F.broadcast(bottom.select("class_name")), "class_name", "left_semi")
+        bottom.select("class_name", F.inline("ratings"))
         .select(
             "class_name",
             "rating",

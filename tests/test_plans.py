@@ -34,6 +34,17 @@ def test_scan_reads_only_what_is_used(spark, folder):
     assert set(re.findall(r"(\w+):", items)) <= {"l_orderkey", "l_partkey", "l_suppkey"}
 
 
+@pytest.mark.parametrize("name", ["q1_department_rating", "q4b_bottom_class_ratings"])
+def test_questions_without_texts_shuffle_none(name, spark, folder):
+    text = _plan(queries()[name](spark, folder))
+    lines = text.split("\n")
+    summed = [lines[n + 1] for n, line in enumerate(lines) if "Exchange" in line and "__digest" in line]
+    assert len(summed) == 1 and "__digest" in summed[0]
+    assert "Aggregate(keys" in summed[0] and "review_text" not in summed[0] and "text" not in summed[0]
+    scans = [r for r in re.findall(r"ReadSchema: struct<([^>]*)>", text) if "text:" in r]
+    assert len(scans) == 1
+
+
 def test_status_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "orders")
     spark.sql(

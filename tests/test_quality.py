@@ -37,6 +37,8 @@ def test_copies_keep_the_lowest_key(raw):
     kept = {r["review_id"] for r in quality.drop_copies(raw).collect()}
     assert kept == {1, 3, 5, 6, 7, 8, 9}
     assert quality.drop_copies(raw.drop("review_id"), None).count() == 7
+    whole = {r["review_id"]: tuple(r) for r in raw.collect()}
+    assert all(tuple(r) == whole[r["review_id"]] for r in quality.drop_copies(raw).collect())
 
 
 def test_ages_are_clipped_only_when_one_is_impossible(spark, raw):
