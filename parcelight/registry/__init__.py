@@ -1,6 +1,6 @@
 """All registered queries by name."""
 
-from parcelight.registry import dashboard, extraction, modeling, orders, retrieval, reviews
+from parcelight.registry import dashboard, extraction, modeling, orders, retrieval, reviews, storage
 from parcelight.registry.spec import Spec
 
 SPECS: dict[str, Spec] = {
@@ -10,4 +10,5 @@ SPECS: dict[str, Spec] = {
     **modeling.SPECS,
     **retrieval.SPECS,
     **extraction.SPECS,
+    **storage.SPECS,
 }

@@ -50,7 +50,28 @@ def _in_range(i: Inputs) -> DataFrame:
     return plan.kpi_overview(plan.filter_orders(delivered(i), first=date(1995, 1, 1), last=date(1997, 6, 30)))
 
 
+def _empty(i: Inputs) -> DataFrame:
+    """Whether a selection holds no order, for three selections."""
+    orders = delivered(i)
+    selections = {
+        "all": orders,
+        "unknown state": plan.filter_orders(orders, states=["nowhere"]),
+        "before the first order": plan.filter_orders(orders, first=date(1900, 1, 1), last=date(1900, 1, 1)),
+    }
+    rows = [(name, int(plan.nothing_selected(chosen))) for name, chosen in selections.items()]
+    return i.spark.createDataFrame(rows, "selection string, nothing int")
+
+
 SPECS: dict[str, Spec] = {
+    "empty_selection": Spec(
+        _empty,
+        MART_VIEWS,
+        _CHAIN
+        + """select 'all' as selection, cast(count(*) = 0 as int) as nothing from delivered
+        union all select 'unknown state', cast(count(*) = 0 as int) from delivered where customer_state = 'nowhere'
+        union all select 'before the first order', cast(count(*) = 0 as int) from delivered
+            where order_purchase_timestamp < timestamp '1900-01-02'""",
+    ),
     "kpi_overview": Spec(
         lambda i: _days_as_text(plan.kpi_overview(delivered(i))), MART_VIEWS, _CHAIN + _kpi_sql("delivered")
     ),

@@ -31,8 +31,8 @@ def _fallback_sql(prefix: str = "") -> str:
     )
 
 
-_EXTRACTED = f", {_parse_sql('llm_responses', 'raw', 'p')}, extracted as (select review_id, ok, {_fallback_sql()} from p)\n"
-_JOINED = _EXTRACTED + f""", joined as (select r.*, sentiment, complaint_category, would_recommend_reason
+EXTRACTED_SQL = f", {_parse_sql('llm_responses', 'raw', 'p')}, extracted as (select review_id, ok, {_fallback_sql()} from p)\n"
+_JOINED = EXTRACTED_SQL + f""", joined as (select r.*, sentiment, complaint_category, would_recommend_reason
     from {RAW} r join extracted e on r.review_id = e.review_id)
 """
 _VIEWS = RAW + " llm_responses"
@@ -60,6 +60,30 @@ def _two_attempts(i: Inputs) -> DataFrame:
     )
 
 
+_SAID = (
+    "not json",
+    '{"sentiment":"neutral"}',
+    '```json\n{"sentiment":"negative","complaint_category":"sizing","would_recommend_reason":"too small"}\n```',
+    '{"sentiment":"negative","complaint_category":"fabric","would_recommend_reason":"thin"}',
+    '{"sentiment":"positive","complaint_category":"none","would_recommend_reason":"fits"}',
+)
+
+
+def _extract(i: Inputs) -> DataFrame:
+    """Both rounds of asking, with a stand-in service that goes by the length of the prompt."""
+    said = list(_SAID)
+
+    def answer(prompts):
+        return [said[len(text) % len(said)] for text in prompts["user_text"]]
+
+    return _ok_as_int(plan.extract(i.apparel_reviews_raw, answer), "parsed_ok")
+
+
+_SAID_SQL = "case length(user_text) % {n} {arms} end".format(
+    n=len(_SAID), arms=" ".join("when {} then '{}'".format(k, text.replace("\n", "' || chr(10) || '")) for k, text in enumerate(_SAID))
+)
+
+
 def _matrix_sql(by: str, source: str = "joined") -> str:
     counts = ", ".join(f"count(*) filter (complaint_category = '{c}') as {c}" for c in plan.COMPLAINTS)
     listed = ", ".join(f"'{c}'" for c in plan.COMPLAINTS)
@@ -86,7 +110,7 @@ SPECS: dict[str, Spec] = {
     "parse_extractions": Spec(
         lambda i: _ok_as_int(extracted(i), "parsed_ok"),
         "llm_responses",
-        _EXTRACTED + f"select review_id, cast(ok as int) as parsed_ok, {', '.join(plan.KEYS)} from extracted",
+        EXTRACTED_SQL + f"select review_id, cast(ok as int) as parsed_ok, {', '.join(plan.KEYS)} from extracted",
     ),
     "extract_retry": Spec(
         lambda i: _ok_as_int(plan.parse_attempts(_two_attempts(i)), "parsed_ok"),
@@ -104,10 +128,19 @@ SPECS: dict[str, Spec] = {
         )
         + " from p2",
     ),
+    "extract_reviews": Spec(
+        _extract,
+        RAW,
+        f""", prompts as (select review_id, concat('Review: "', review_text, '"') as user_text
+            from {RAW} where review_text is not null),
+        said as (select review_id, {_SAID_SQL} as raw from prompts),
+        {_parse_sql("said", "raw", "p")}
+        select review_id, cast(ok as int) as parsed_ok, {_fallback_sql()} from p""",
+    ),
     "extraction_quality": Spec(
         lambda i: _ok_as_int(plan.extraction_quality(extracted(i)), "parsed_ok", "sentiment_ok", "category_ok"),
         "llm_responses",
-        _EXTRACTED
+        EXTRACTED_SQL
         + f"""select sentiment, complaint_category, cast(ok as int) as parsed_ok, count(*) as n,
             cast(sentiment in {plan.SENTIMENTS} as int) as sentiment_ok,
             cast(complaint_category in {plan.COMPLAINTS} as int) as category_ok

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,51 +122,112 @@ def _report_frame(i: Inputs, result: modeling.Evaluation, train: DataFrame, test
     )
 
 
-def _train_logistic(i: Inputs) -> DataFrame:
-    train, test = _model_parts(i)
-    result = modeling.evaluate("LogisticRegression", modeling.fit_logistic(train), test)
-    return _report_frame(i, result, train, test)
+_SAVED: dict[tuple[str, str, str], str] = {}
 
 
-_FORESTS: dict[tuple[str, str], str] = {}
+def _saved(i: Inputs, name: str, fit, train: DataFrame):
+    """Model and metadata, fitted and saved once in an application, then loaded from the shared folder."""
+    key = (i.spark.sparkContext.applicationId, i.folder, name)
+    if key not in _SAVED:
+        folder = shared_path(i.spark, name)
+        numeric, categorical = modeling.feature_columns(train)
+        metadata = {"best_model": name, "numeric_features": numeric, "categorical_features": categorical}
+        modeling.save_model(i.spark, fit(train), metadata, folder)
+        _SAVED[key] = folder
+    return modeling.load_model(i.spark, _SAVED[key])
 
 
-def _forest(i: Inputs, train: DataFrame):
-    """The forest over an input, fitted once in an application, then loaded from the shared folder."""
-    key = (i.spark.sparkContext.applicationId, i.folder)
-    if key not in _FORESTS:
-        folder = shared_path(i.spark, "forest")
-        modeling.save_model(i.spark, modeling.fit_forest(train), {"model": "RandomForest", "input": i.folder}, folder)
-        _FORESTS[key] = folder
-    return modeling.load_model(i.spark, _FORESTS[key])[0]
+def _train_logistic(i: Inputs) -> DataFrame:
+    train, test = _model_parts(i)
+    model, _ = _saved(i, "LogisticRegression", modeling.fit_logistic, train)
+    return _report_frame(i, modeling.evaluate("LogisticRegression", model, test), train, test)
 
 
 def _train_forest(i: Inputs) -> DataFrame:
     train, test = _model_parts(i)
-    result = modeling.evaluate("RandomForest", _forest(i, train), test)
-    return _report_frame(i, result, train, test)
+    model, _ = _saved(i, "RandomForest", modeling.fit_forest, train)
+    return _report_frame(i, modeling.evaluate("RandomForest", model, test), train, test)
 
 
 def _train_light(i: Inputs) -> DataFrame:
     train, test = _parts(modeling.light_model_dataset(mart(i)), ["order_id"])
-    result = modeling.evaluate("LightForest", modeling.fit_light_forest(train), test)
-    return _report_frame(i, result, train, test)
+    model, _ = _saved(i, "LightForest", modeling.fit_light_forest, train)
+    return _report_frame(i, modeling.evaluate("LightForest", model, test), train, test)
 
 
 def _importances(i: Inputs) -> DataFrame:
     train, _ = _model_parts(i)
-    return modeling.feature_importances(i.spark, modeling.top_importances(_forest(i, train), train))
+    model, _ = _saved(i, "RandomForest", modeling.fit_forest, train)
+    return modeling.feature_importances(i.spark, modeling.top_importances(model, train))
+
+
+def _decisions(df: DataFrame, model, metadata: dict) -> DataFrame:
+    needed = metadata["numeric_features"] + metadata["categorical_features"]
+    scored = modeling.score_orders(df, model, needed)
+    return scored.select("order_id", "late_probability", "predicted_late", late_label(F.col("predicted_late")).alias("label"))
 
 
 def _score_orders(i: Inputs) -> DataFrame:
+    """Every order, scored by the saved model of the early ones."""
     train, test = _model_parts(i)
-    model = modeling.fit_logistic(train)
-    needed = sum(modeling.feature_columns(train), [])
-    scored = modeling.score_orders(test, model, needed)
-    return scored.select(
-        "order_id", "target_late", "late_probability", "predicted_late",
-        late_label(F.col("predicted_late")).alias("label"),
-    )
+    return _decisions(train.unionByName(test), *_saved(i, "LogisticRegression", modeling.fit_logistic, train))
+
+
+def _score_what_if(i: Inputs) -> DataFrame:
+    """Scenarios scored by the saved light model."""
+    train, _ = _parts(modeling.light_model_dataset(mart(i)), ["order_id"])
+    return _decisions(_what_if(i), *_saved(i, "LightForest", modeling.fit_light_forest, train))
+
+
+# ---- parts of the models that SQL can say --------------------------------------
+
+_KNOWN = "product_category < 'Brand#44'"
+_KINDS = ("payment_type", "product_category")
+
+
+def _one_hot(i: Inputs) -> DataFrame:
+    """The one-hot slot of each category, -1 for a category that the fit did not see."""
+    rows = unfilled(i).select("order_id", "total_price", *_KINDS)
+    seen = rows.where(_KNOWN)
+    fitted = Pipeline(stages=modeling.preprocessing(seen, ["total_price"], list(_KINDS))).fit(seen)
+    place = lambda c: (F.array_position(vector_to_array(f"{c}__h"), F.lit(1.0)) - 1).cast("int").alias(f"{c}_slot")
+    return fitted.transform(rows).select("order_id", *[place(c) for c in _KINDS])
+
+
+def _slots_sql(column: str) -> str:
+    return f"""{column}_mode as (select {column} as common from seen where {column} is not null
+    group by 1 order by count(*) desc, 1 limit 1),
+{column}_slots as (select v, cast(row_number() over (order by v) - 1 as int) as slot from (
+    select distinct coalesce({column}, (select common from {column}_mode)) as v from seen))"""
+
+
+_SCORES = {"score": "score", "reversed": "1 - score", "squared": "score * score"}
+_PAIRS = (("score", "reversed"), ("reversed", "score"), ("score", "squared"), ("squared", "score"))
+
+
+def _choice(i: Inputs) -> DataFrame:
+    """The better of two scores by area under the curve, the first on a tie."""
+    rated = {}
+    for name, rule in _SCORES.items():
+        area = stats.roc_auc(i.score_table.withColumn("s", F.expr(rule)), "s", "label").first()["roc_auc"]
+        rated[name] = modeling.Evaluation(name, round(area, 4), 0.0)
+    rows = [(a, b, best.name, best.roc_auc) for a, b in _PAIRS for best in [modeling.better_model(rated[a], rated[b])]]
+    return i.spark.createDataFrame(rows, "first string, second string, best string, roc_auc double")
+
+
+def _area_sql(name: str, rule: str) -> str:
+    return f"""select '{name}' as name, {rounded("(rs - n_pos * (n_pos + 1) / 2.0::double) / (n_pos::double * n_neg)", 4)} as area from (
+        select count(*) filter (label = 1) as n_pos, count(*) filter (label = 0) as n_neg, sum(r) filter (label = 1) as rs
+        from (select label, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0::double as r
+            from (select label, {rule} as s from score_table)))"""
+
+
+_CHOICE_SQL = (
+    ", areas as (" + " union all ".join(_area_sql(n, r) for n, r in _SCORES.items()) + "), pairs(first, second) as (values "
+    + ", ".join(str(pair) for pair in _PAIRS)
+    + """) select first, second, case when a.area >= b.area then first else second end as best,
+    greatest(a.area, b.area) as roc_auc from pairs join areas a on a.name = first join areas b on b.name = second"""
+)
 
 
 SPECS: dict[str, Spec] = {
@@ -240,9 +303,24 @@ SPECS: dict[str, Spec] = {
             cast(score >= 0.5 as int) as predicted_late,
             case when score >= 0.5 then 'LATE' else 'ON TIME' end as decision from score_table""",
     ),
+    "one_hot_slots": Spec(
+        _one_hot,
+        STAR + " shop_payments",
+        _UNFILLED_SQL
+        + f", seen as (select * from unfilled where {_KNOWN}), "
+        + ", ".join(_slots_sql(c) for c in _KINDS)
+        + " select order_id, "
+        + ", ".join(f"coalesce(s{n}.slot, -1) as {c}_slot" for n, c in enumerate(_KINDS))
+        + " from unfilled "
+        + " ".join(
+            f"left join {c}_slots s{n} on s{n}.v = coalesce({c}, (select common from {c}_mode))" for n, c in enumerate(_KINDS)
+        ),
+    ),
+    "model_choice": Spec(_choice, "score_table", _CHOICE_SQL),
     "train_logistic": Spec(_train_logistic),
     "train_forest": Spec(_train_forest),
     "train_light_forest": Spec(_train_light),
     "feature_importances": Spec(_importances),
     "score_orders": Spec(_score_orders),
+    "score_what_if": Spec(_score_what_if),
 }

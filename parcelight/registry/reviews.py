@@ -52,22 +52,25 @@ def table(inputs: Inputs) -> DataFrame:
     return plan.review_table(inputs.apparel_reviews_raw)
 
 
+def raw_names() -> dict[str, str]:
+    """The export's header of each column."""
+    return {"review_id": ROW_NUMBER_HEADER, **{v: k for k, v in REVIEW_HEADER.items()}}
+
+
 def _csv_scan(inputs: Inputs) -> DataFrame:
     """The raw reviews written under their export header and read back."""
     spark = inputs.spark
     path = shared_path(spark, "reviews-csv")
-    raw_names = {"review_id": ROW_NUMBER_HEADER, **{v: k for k, v in REVIEW_HEADER.items()}}
-    write_csv(inputs.apparel_reviews_raw.withColumnsRenamed(raw_names), path)
-    back = scan_csv(spark, path, _in_written_order(inputs))
+    write_csv(inputs.apparel_reviews_raw.withColumnsRenamed(raw_names()), path)
+    back = scan_csv(spark, path, in_written_order(inputs))
     return quality.tidy_names(back.withColumnRenamed(ROW_NUMBER_HEADER, "review_id"))
 
 
-def _in_written_order(inputs: Inputs):
+def in_written_order(inputs: Inputs):
     from pyspark.sql import types as T
 
     kinds = {f.name: f for f in RAW_REVIEWS.fields}
-    raw_names = {"review_id": ROW_NUMBER_HEADER, **{v: k for k, v in REVIEW_HEADER.items()}}
-    return T.StructType([kinds[raw_names[c]] for c in inputs.apparel_reviews_raw.columns])
+    return T.StructType([kinds[raw_names()[c]] for c in inputs.apparel_reviews_raw.columns])
 
 
 def _null_token_sql(column: str) -> str:
@@ -76,7 +79,7 @@ def _null_token_sql(column: str) -> str:
 
 
 _TEXT_COLUMNS = ("title", "review_text", "division_name", "department_name", "class_name")
-_CSV_SQL = (
+CSV_COLUMNS_SQL = (
     "select review_id, clothing_id, age, rating, recommended_ind, positive_feedback_count, "
     + ", ".join(_null_token_sql(c) for c in _TEXT_COLUMNS)
     + f" from {RAW}"
@@ -146,7 +149,7 @@ def _lenient(inputs: Inputs) -> DataFrame:
 
 
 SPECS: dict[str, Spec] = {
-    "csv_scan": Spec(_csv_scan, RAW, _CSV_SQL),
+    "csv_scan": Spec(_csv_scan, RAW, CSV_COLUMNS_SQL),
     "table_profile": Spec(
         lambda i: quality.table_profile(i.apparel_reviews_raw),
         RAW,

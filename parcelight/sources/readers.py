@@ -61,12 +61,17 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def resolve_source(
-    spark: SparkSession, candidates: Iterable[str], required: bool = True
+    spark: SparkSession, candidates: Iterable[str], required: bool = True, csv_schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """First candidate that exists: a table name or a parquet path."""
+    """First candidate that exists: a table name, a parquet path, or a path that
+    ends in ``.csv``, which is read with ``csv_schema``."""
     tried = list(candidates)
     for name in tried:
         try:
+            if name.endswith(".csv"):
+                if csv_schema is None:
+                    raise ValueError(f"{name} needs a schema")
+                return scan_csv(spark, name, csv_schema)
             if "/" in name:
                 return spark.read.parquet(name)
             if spark.catalog.tableExists(name):

@@ -12,7 +12,7 @@ ORACLES = {name: sql for name, sql in oracle_sql().items() if name not in LLM_QU
 # Model training, which SQL cannot express.
 ROWS_ONLY = {
     "train_logistic", "train_forest", "train_light_forest", "feature_importances",
-    "score_orders",
+    "score_orders", "score_what_if",
 }
 
 

@@ -32,6 +32,26 @@ def test_resolve_source(spark, tmp_path):
         readers.resolve_source(spark, [str(tmp_path / "none")])
 
 
+def test_resolve_csv(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    path = str(tmp_path / "t.csv")
+    sinks.write_csv(spark.createDataFrame([(1, "x"), (2, "NA")], schema), path)
+    found = readers.resolve_source(spark, ["no_table", str(tmp_path / "none.csv"), path], csv_schema=schema)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "x"), (2, None)]
+    assert readers.resolve_source(spark, [str(tmp_path / "none.csv")], required=False, csv_schema=schema) is None
+    with pytest.raises(ValueError):
+        readers.resolve_source(spark, [path])
+
+
+def test_tables_at_a_path(spark, tmp_path):
+    once, swapped = str(tmp_path / "once"), str(tmp_path / "swapped")
+    assert sinks.create_table_if_absent(spark.range(3), "kept_there", once) == 3
+    assert sinks.create_table_if_absent(spark.range(9), "kept_there", once) == 3
+    assert sinks.replace_table(spark.range(4), "swapped_there", path=swapped) == 4
+    assert sinks.replace_table(spark.range(5), "swapped_there", path=swapped) == 5
+    assert spark.read.parquet(once).count() == 3 and spark.read.parquet(swapped).count() == 5
+
+
 def test_tables(spark):
     assert sinks.create_table_if_absent(spark.range(3), "kept") == 3
     assert sinks.create_table_if_absent(spark.range(9), "kept") == 3
