@@ -96,7 +96,7 @@ def forest_paths(shingles: np.ndarray, counts: np.ndarray, trees: int, depth: in
 
 
 def signatures(docs: DataFrame, trees: int, depth: int, seed: int) -> DataFrame:
-    """__row, doc_id, node (digest of the words, null without words), size (shingles), paths (a key for each tree)."""
+    """__row, doc_id, node (digest of the words, null without words), size (distinct shingles), paths (a key for each tree)."""
     slim = docs.select("__row", "doc_id", text_of().alias("__text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
@@ -105,10 +105,12 @@ def signatures(docs: DataFrame, trees: int, depth: int, seed: int) -> DataFrame:
         for batch in batches:
             for group in by_size(rows_of(iter([batch]), "__row", "doc_id", "__text"), lambda r: len(r[2]), 1_000_000):
                 digests, shingles, counts = shingle_hashes([r[2] for r in group], known)
+                sets = [np.unique(s) for s in np.split(shingles, np.cumsum(counts)[:-1])]
+                counts = np.array([len(s) for s in sets], np.int64)
                 some = np.flatnonzero(counts)
                 keys: list = [None] * len(group)
                 if len(some):
-                    paths = forest_paths(shingles, counts[some], trees, depth, seed)
+                    paths = forest_paths(np.concatenate(sets), counts[some], trees, depth, seed)
                     for n, i in enumerate(some):
                         keys[i] = [
                             xxhash.xxh3_64_intdigest(paths[n, t].tobytes(), seed=t) - (1 << 63) for t in range(trees)
@@ -261,7 +263,8 @@ def near_duplicates(
         .select("node", F.col("root").alias("comp"), F.col("first.__row").alias("__of"), "weight", "size")
     )
 
-    # small components share tasks; large ones are cut into blocks of like size
+    # small components share tasks; large ones are cut into blocks of like size, which counts
+    # distinct shingles as the likeness does, so that blocks too far apart hold no link
     counted = candidates.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
     large = counted.where(F.col("members") > block).select(F.col("comp").alias("__large"))
     small_rows = counted.where(F.col("members") <= block).agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]
@@ -275,7 +278,7 @@ def near_duplicates(
     ranked = cut_lineage(ranked)
     blocks = ranked.groupBy("comp", "part").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     other = blocks.select(F.col("comp").alias("__c"), F.col("part").alias("__p"), F.col("low").alias("__low"))
-    pairs = blocks.join(other, (F.col("comp") == F.col("__c")) & (F.col("part") <= F.col("__p")) & (F.col("__low") * similarity <= F.col("high")))
+    pairs = blocks.join(other, (F.col("comp") == F.col("__c")) & (F.col("part") <= F.col("__p")) & (F.col("__low") * similarity <= F.col("high") + 1e-9))
     name = F.concat_ws(":", F.hex("comp"), F.col("part").cast("string"), F.col("__p").cast("string"))
     sides = pairs.select(F.col("comp").alias("__in"), name.alias("task"), F.explode(F.array_distinct(F.array("part", "__p"))).alias("__side"))
     blocked = ranked.join(sides, (F.col("comp") == F.col("__in")) & (F.col("part") == F.col("__side"))).select(
