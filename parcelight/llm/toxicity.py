@@ -28,12 +28,13 @@ WIDTHS = (1, 2, 3)
 _PUNCTUATION = ".,;:!?\"'()[]{}<>|*#-_&%$/\\=+~`^"
 _WORDS_PER_STEP = 100_000
 _CACHED_WORDS = 200_000
+_LONGEST_WORD = 64
+_PIECE = 16  # short enough that a word inside is not lost in the mean over the piece
 
 
 def word_grams(word: str) -> list[str]:
     """The parts of a word that carry an embedding: itself, its prefixes, its trigrams to pentagrams."""
     w = word.strip(_PUNCTUATION) or word
-    w = w[:64]
     parts = ["=" + w]
     parts += ["^" + w[:n] for n in (3, 4, 5, 6) if len(w) > n]
     parts += [w[i : i + n] for n in (4, 5) for i in range(len(w) - n + 1)]
@@ -41,7 +42,21 @@ def word_grams(word: str) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    """The words of a text; a longer token, as scripts without blanks have, is read as pieces that overlap by half.
+
+    Any run of up to half a piece lies whole in one of them, so no character is left out.
+    """
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= _LONGEST_WORD:
+        return words
+    out: list[str] = []
+    for word in words:
+        w = word.strip(_PUNCTUATION) or word
+        if len(w) <= _LONGEST_WORD:
+            out.append(word)
+        else:
+            out += [w[i : i + _PIECE] for i in range(0, len(w) - _PIECE // 2, _PIECE // 2)]
+    return out
 
 
 @dataclass
@@ -327,7 +342,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...]
 
     One row for each input row, repeated rows included; a null or empty text has
     no words and gets the score of no evidence.  Texts of any length are scored
-    whole, a step of words at a time.  A null or unseen language has the common
+    whole, a step of words at a time, and so are tokens of any length.  A null or unseen language has the common
     threshold.
     """
     return _scored(docs, model, keep).select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], "score", "toxic")
