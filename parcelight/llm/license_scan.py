@@ -68,7 +68,7 @@ _LICENSES = (
     ("bsl-1", "boost", "boost software license(?: version)?(?: 1(?: 0)?)?", "bsl 1 0", True),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib", False),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense", True),
-    ("wtfpl", "wtf", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl", True),
+    ("wtfpl", "f", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl", True),
     ("python-2", "python", "python software foundation license(?: version)?(?: 2)?", "psf 2 0", True),
     ("postgresql", "postgresql", "postgresql", "postgresql", False),
     ("openssl", "openssl", "openssl", "openssl", False),
@@ -79,11 +79,11 @@ _LICENSES = (
     ("odc-by-1", "open", "open data commons attribution license(?: v?1(?: 0)?)?", "odc by 1 0", True),
     ("pddl-1", "public", "public domain dedication and license(?: v?1(?: 0)?)?", "pddl 1 0", True),
     ("cc0-1", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0", True),
-    ("cc-by-nc-nd", "nd", "(?:creative commons|cc) (?:by nc nd|attribution noncommercial noderiv\\w*)(?: \\d 0)?", "cc by nc nd \\d 0", True),
-    ("cc-by-nc-sa", "sa", "(?:creative commons|cc) (?:by nc sa|attribution noncommercial sharealike)(?: \\d 0)?", "cc by nc sa \\d 0", True),
+    ("cc-by-nc-nd", "c", "(?:creative commons|cc) (?:by nc nd|attribution noncommercial noderiv\\w*)(?: \\d 0)?", "cc by nc nd \\d 0", True),
+    ("cc-by-nc-sa", "c", "(?:creative commons|cc) (?:by nc sa|attribution noncommercial sharealike)(?: \\d 0)?", "cc by nc sa \\d 0", True),
     ("cc-by-nc", "c", "(?:creative commons|cc) (?:by nc|attribution non ?commercial)(?: \\d 0)?", "cc by nc \\d 0", True),
-    ("cc-by-nd", "nd", "(?:creative commons|cc) (?:by nd|attribution noderiv\\w*)(?: \\d 0)?", "cc by nd \\d 0", True),
-    ("cc-by-sa", "sa", "(?:creative commons|cc) (?:by sa|attribution share ?alike)(?: \\d 0)?", "cc by sa \\d 0", True),
+    ("cc-by-nd", "c", "(?:creative commons|cc) (?:by nd|attribution noderiv\\w*)(?: \\d 0)?", "cc by nd \\d 0", True),
+    ("cc-by-sa", "c", "(?:creative commons|cc) (?:by sa|attribution share ?alike)(?: \\d 0)?", "cc by sa \\d 0", True),
     ("cc-by", "c", "(?:creative commons attribution|cc by)(?: \\d 0)?", "cc by \\d 0", True),
     ("ms-pl", "microsoft", "microsoft public license", "ms pl", True),
     ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl", True),
@@ -129,7 +129,7 @@ def signature_rules() -> tuple[Rule, ...]:
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GATE = (
     r"(?i)licen[cs]|copyright|spdx|rights" + _GAP + r"reserved|public" + _GAP + r"domain|permission" + _GAP + r"is"
-    r"|proprietary|redistribut|creative" + _GAP + r"commons|cc" + _GAP + r"by|cc0|apache|gpl|mpl|epl|cddl|eupl|sspl|affero|wtfpl|0bsd|bsd"
+    r"|proprietary|redistribut|creative" + _GAP + r"commons|cc" + _GAP + r"(?:by|attribution)|cc0|apache|gpl|mpl|epl|cddl|eupl|sspl|affero|wtfpl|0bsd|bsd"
     r"|(?:licensed|released|distributed|available|published|provided|covered|covers?|governed)" + _GAP + r"(?:under|by)"
     r"|public" + _GAP + r"licen|mit" + _GAP + r"no" + _GAP + r"attribution"
 )
