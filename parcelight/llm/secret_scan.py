@@ -22,7 +22,7 @@ KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 
 IDENTIFIER = (
     r"(?i)(?<![a-z0-9])(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:_?name|_?id)?)"
-    r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{4,64}"
+    r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{4,}"
 )
 SECRET = (
     r"(?i)(?<![a-z0-9])(?:private_?key|(?:secret|access)_(?:access_)?key|credentials?|pass(?:phrase)?|pwd|auth|bearer)"
