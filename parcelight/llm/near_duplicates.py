@@ -1,10 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison decides.
+"""N-gram Jaccard join: MinHash banding finds candidates, exact comparison decides.
 
 Texts with the same words in the same order are copies and form one node.  Each
 node has a signature of several trees; a tree's path is a run of MinHash values
-of the node's five-word shingles, and nodes under one prefix of a tree are
-candidates.  The prefix is shortened, one value at a time, until a pair at the
-similarity asked for shares a prefix in some tree with the target recall.
+of the node's five-word shingles, and nodes with one path in a tree are
+candidates.  All paths have the same length, the longest at which a pair at the
+similarity asked for shares one in some tree with the target recall; it follows
+from the settings alone, so this is banding and not an LSH forest.
 
 Candidates under a prefix are tied to its smallest node, not to each other, so
 a prefix that holds any number of nodes makes as many ties.  Within a component
