@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelight.llm import (
+    collocations,
     fingerprints,
+    lexical_search,
     license_scan,
     mixing,
     near_duplicates,
@@ -15,6 +17,7 @@ from parcelight.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    sharding,
     suffix_dedup,
     toxicity,
 )
@@ -61,6 +64,18 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, folder), table(spark, folder, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_digest(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_jaccard_join": op2_jaccard_join,
@@ -72,6 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
 
-SQL: dict[str, str] = {"op8_mixing": mixing.MIXING_SQL}
+SQL: dict[str, str] = {
+    "op8_mixing": mixing.MIXING_SQL,
+    "op11_lexical_search": lexical_search.SEARCH_SQL,
+    "op12_collocations": collocations.COLLOCATION_SQL,
+    "op13_sharding": sharding.SHARDING_SQL,
+}
