@@ -13,13 +13,16 @@ def round_half_up(value: Column, digits: int) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum of amounts, to be rounded once, at its end.
+    """Sum of amounts that does not depend on the order of rows, to be rounded at its end.
 
-    Nothing is rounded before it is added, so amounts of any size count.  Sums
-    of amounts with two decimals lie far from a rounding edge, so the order of
-    rows does not show in the rounded sum.
+    Whole units and millionths are summed apart as whole numbers, which add up
+    the same in any order; a plain sum of doubles does not, and with enough rows
+    that reaches the second decimal.  An amount counts to its sixth decimal.  Null
+    and NaN count nothing; no amount at all gives null.
     """
-    return F.sum(value)
+    whole = F.floor(value)
+    millionths = F.floor((value - whole) * 1_000_000.0 + 0.5)
+    return F.sum(whole) + F.sum(millionths) / F.lit(1_000_000.0)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

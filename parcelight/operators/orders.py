@@ -220,6 +220,17 @@ def _mart(
     return joined.withColumns(derived).drop(*_ROLLUP_INTERNALS, "n_reviews")
 
 
+def lines_of(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """The lines of these orders, found before anything is rolled up."""
+    return lines.join(orders.select("order_id"), "order_id", "left_semi")
+
+
+def selected_mart(orders, items, products, sellers, customers, reviews) -> DataFrame:
+    """``order_mart`` of a selection of orders: lines and reviews of other orders are left
+    out at the scan's side of the roll-up, so its work falls with the selection."""
+    return order_mart(orders, lines_of(orders, items), products, sellers, customers, lines_of(orders, reviews))
+
+
 def order_mart(orders, items, products, sellers, customers, reviews) -> DataFrame:
     """One row per order with items, whatever its status; no review gives score 0."""
     return _mart(orders, items, products, sellers, customers, reviews, F.lit(1))

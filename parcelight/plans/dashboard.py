@@ -104,14 +104,23 @@ def late_rate_by_category(orders: DataFrame) -> DataFrame:
     return late_rate_by(orders, "product_category", min_orders=10)
 
 
-def delivery_histogram(orders: DataFrame, width: int = 1) -> DataFrame:
-    """Orders per range of delivery days, late and on time apart."""
+def bin_width(df: DataFrame, column: str, most: int = 30) -> DataFrame:
+    """One row, one column: the smallest of 1, 2, 5, 10, 20, 50, ... that needs at most ``most`` bins.
+
+    Bins start at multiples of their width.  Null if the column has no value.
+    """
+    widths = F.array(*[F.lit(m * 10**k).cast("bigint") for k in range(10) for m in (1, 2, 5)])
+    bins = lambda w: F.floor(F.col("hi") / w) - F.floor(F.col("lo") / w) + 1
+    ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    return ends.select(F.try_element_at(F.filter(widths, lambda w: bins(w) <= most), F.lit(1)).alias("width"))
+
+
+def delivery_histogram(orders: DataFrame, most: int = 30) -> DataFrame:
+    """Orders per range of delivery days, late and on time apart, in at most ``most`` ranges."""
+    known = orders.where(F.col("delivery_days").isNotNull())
+    width = bin_width(known, "delivery_days", most).scalar()
     start = (F.floor(F.col("delivery_days") / width) * width).cast("int")
-    return (
-        orders.where(F.col("delivery_days").isNotNull())
-        .groupBy(start.alias("days_from"), "is_late")
-        .agg(F.count(F.lit(1)).alias("orders"))
-    )
+    return known.groupBy(start.alias("days_from"), width.cast("int").alias("width"), "is_late").agg(F.count(F.lit(1)).alias("orders"))
 
 
 def reviewed_scatter(orders: DataFrame, n: int = 2000, seed: int = 42) -> DataFrame:

@@ -140,15 +140,68 @@ def parse_attempts(responses: DataFrame, first: str = "raw", second: str = "raw_
     return with_fallback(chosen).drop("ok__1", *[f"{k}__1" for k in KEYS], first, second)
 
 
-def extract(reviews: DataFrame, answer: Complete, key: str = "review_id") -> DataFrame:
+class AnswersMissing(RuntimeError):
+    """Some prompts got no answer; those that did are in the log."""
+
+
+def logged_answers(
+    prompts: DataFrame, answer: Complete, log: str, key: str = "review_id", rows: int = 64, slices: int = 16
+) -> DataFrame:
+    """Key and raw answer of each prompt, each different prompt asked once for as long as the log exists.
+
+    ``log`` is a folder that all executors share; answers lie there under the
+    digest of their prompt.  ``answer`` gets up to ``rows`` prompts at a time.  When
+    it raises, those prompts stay open and the others go on; after the slice
+    ``AnswersMissing`` is raised, and a rerun asks only what is open.  A driver that
+    dies loses the answers of one slice of the prompts, an executor those of
+    its running tasks.  A null answer counts as none.
+    """
+    spark = prompts.sparkSession
+    digest = F.sha2(F.to_json(F.array("system_text", "user_text")), 256)
+    named = cut_lineage(prompts.select(key, "system_text", "user_text", digest.alias("digest")))
+    spark.createDataFrame([], "digest string, raw string").write.mode("append").parquet(log)
+    held = spark.read.parquet(log)
+    todo = cut_lineage(named.drop(key).dropDuplicates(["digest"]).join(held.select("digest"), "digest", "left_anti"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                few = batch.iloc[at : at + rows].reset_index(drop=True)
+                try:
+                    raw, error = list(answer(few[["system_text", "user_text"]])), None
+                except Exception as failure:  # whatever the service raises, the others are asked
+                    raw, error = [None] * len(few), f"{type(failure).__name__}: {failure}"
+                yield pd.DataFrame({"digest": few["digest"], "raw": raw, "error": [error] * len(few)})
+
+    for turn in range(slices):
+        part = todo.where(F.pmod(F.xxhash64("digest"), F.lit(slices)) == turn)
+        if part.isEmpty():
+            continue
+        given = cut_lineage(part.mapInPandas(run, "digest string, raw string, error string"))
+        given.where(F.col("raw").isNotNull()).select("digest", "raw").write.mode("append").parquet(log)
+        failed = given.where(F.col("error").isNotNull())
+        example = failed.first()
+        if example is not None:
+            raise AnswersMissing(f"{failed.count()} prompts of a slice got no answer, for instance: {example['error']}")
+    # a driver lost between two writes may leave an answer twice
+    answers = spark.read.parquet(log).groupBy("digest").agg(F.min("raw").alias("raw"))
+    return named.select(key, "digest").join(answers, "digest", "left").select(key, "raw")
+
+
+def extract(reviews: DataFrame, answer: Complete, key: str = "review_id", log: str | None = None) -> DataFrame:
     """Ask for each review, ask once more where the answer is unreadable.
 
     Answers are paid for, so each round is checkpointed and never asked twice.
+    With a folder ``log`` the answers of both rounds outlive the job that asked.
     """
+
+    def asked(some: DataFrame, turn: str) -> DataFrame:
+        return logged_answers(some, answer, f"{log}/{turn}", key) if log else complete(some, answer, key)
+
     prompts = prompt_build(reviews)
-    first = try_parse(cut_lineage(complete(prompts, answer, key)))
+    first = try_parse(cut_lineage(asked(prompts, "first")))
     unreadable = prompts.join(first.where(~F.col("parsed_ok")).select(key), key, "left_semi")
-    second = try_parse(cut_lineage(complete(unreadable, answer, key)))
+    second = try_parse(cut_lineage(asked(unreadable, "second")))
     both = first.where(F.col("parsed_ok")).unionByName(second)
     return with_fallback(both).drop("raw")
 

@@ -8,14 +8,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (
-    Imputer,
-    OneHotEncoder,
-    SQLTransformer,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +23,13 @@ from parcelight.operators.orders import (
     payment_features,
 )
 from parcelight.operators.quality import split_by_kind
-from parcelight.operators.statistics import classification_report, modes, roc_auc, threshold_scores
+from parcelight.operators.scaling import ExactScaler, ModeFiller
+from parcelight.operators.statistics import classification_report, roc_auc, threshold_scores
+from parcelight.plans.model_tables import ranked_importances
 from parcelight.session import cut_lineage
 
+# Names of the target, of the columns that are no features, and of
+# the metadata's keys (``model_metadata``).
 TARGET = "target_late"
 NOT_FEATURES = ("order_id", TARGET, PURCHASED, "position", "part", "weight")
 
@@ -114,33 +111,15 @@ def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     return split_by_kind(df, leave_out=NOT_FEATURES)
 
 
-def preprocessing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Stages: median and most-frequent filling, scaling, one-hot.
+def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Stages: exact median and most-frequent filling, scaling by population deviation, one-hot.
 
     A category not seen in training becomes all zeros.
     """
-    doubles = ", ".join(f"cast({c} as double) as {c}__d" for c in numeric)
-    common = {r["column_name"]: r["mode"] for r in modes(df, categorical).collect()} if categorical else {}
-
-    def quoted(name: str) -> str:
-        return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    filled = ", ".join(
-        f"coalesce({c}, {quoted(str(common.get(c, 'unknown')))}) as {c}__f" for c in categorical
-    )
-    extra = ", ".join(part for part in (doubles, filled) if part)
-    stages = [
-        SQLTransformer(statement=f"select *, {extra} from __THIS__"),
-        Imputer(
-            strategy="median",
-            inputCols=[f"{c}__d" for c in numeric],
-            outputCols=[f"{c}__i" for c in numeric],
-        ),
-        VectorAssembler(inputCols=[f"{c}__i" for c in numeric], outputCol="numeric__v"),
-        StandardScaler(withMean=True, withStd=True, inputCol="numeric__v", outputCol="numeric__s"),
-    ]
+    stages: list = [ExactScaler(numeric, [f"{c}__s" for c in numeric])]
     if categorical:
         stages += [
+            ModeFiller(categorical, [f"{c}__f" for c in categorical]),
             StringIndexer(
                 inputCols=[f"{c}__f" for c in categorical],
                 outputCols=[f"{c}__x" for c in categorical],
@@ -155,7 +134,7 @@ def preprocessing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
         ]
     stages.append(
         VectorAssembler(
-            inputCols=["numeric__s"] + [f"{c}__h" for c in categorical], outputCol="features"
+            inputCols=[f"{c}__s" for c in numeric] + [f"{c}__h" for c in categorical], outputCol="features"
         )
     )
     return stages
@@ -181,7 +160,7 @@ def fit_logistic(train: DataFrame, max_iter: int = 1000, c: float = 1.0) -> Pipe
         labelCol=TARGET, maxIter=max_iter, regParam=1.0 / (c * rows),
         elasticNetParam=0.0, standardization=False,
     )
-    return Pipeline(stages=[*preprocessing(train, numeric, categorical), classifier]).fit(train)
+    return Pipeline(stages=[*preprocessing(numeric, categorical), classifier]).fit(train)
 
 
 def fit_forest(
@@ -193,7 +172,7 @@ def fit_forest(
         labelCol=TARGET, weightCol="weight", numTrees=trees, maxDepth=depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed,
     )
-    stages = [*preprocessing(train, numeric, categorical), classifier]
+    stages = [*preprocessing(numeric, categorical), classifier]
     return Pipeline(stages=stages).fit(with_balanced_weight(train))
 
 
@@ -271,10 +250,7 @@ def top_importances(model: PipelineModel, sample: DataFrame, n: int = 10) -> lis
 
 def feature_importances(spark: SparkSession, top: list[dict]) -> DataFrame:
     """Chart rows: names cut to 45 characters and a flag above 0.03."""
-    rows = spark.createDataFrame(top, "rank int, feature string, importance double")
-    return rows.withColumns(
-        {"feature": F.substring("feature", 1, 45), "highlight": F.col("importance") > 0.03}
-    )
+    return ranked_importances(spark.createDataFrame(top, "rank int, feature string, importance double"), len(top))
 
 
 def train_and_select(

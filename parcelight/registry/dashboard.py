@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelight.functions.numbers import round_half_up
+from parcelight.operators.orders import selected_mart
 from parcelight.plans import dashboard as plan
 from parcelight.registry.orders import MART_SQL, MART_VIEWS, mart
 from parcelight.registry.spec import Spec, rounded
@@ -41,13 +42,21 @@ def _late_sql(column: str, least: int) -> str:
         order by late_rate desc, {column} limit 15"""
 
 
+def _selected(i: Inputs, orders: DataFrame) -> DataFrame:
+    return selected_mart(orders, i.shop_items, i.shop_products, i.shop_sellers, i.shop_customers, i.shop_reviews)
+
+
 def _preselected(i: Inputs) -> DataFrame:
-    orders = delivered(i)
-    return plan.kpi_overview(plan.filter_orders(orders, states=plan.preselected_states(orders)))
+    """The states come from the orders that have a line, without rolling the lines up."""
+    placed = plan.delivered_only(i.shop_orders).join(i.shop_customers.select("customer_id", "customer_state"), "customer_id")
+    states = plan.preselected_states(placed.join(i.shop_items.select("order_id"), "order_id", "left_semi"))
+    chosen = plan.filter_orders(placed, states=states).select(*i.shop_orders.columns)
+    return plan.kpi_overview(_selected(i, chosen))
 
 
 def _in_range(i: Inputs) -> DataFrame:
-    return plan.kpi_overview(plan.filter_orders(delivered(i), first=date(1995, 1, 1), last=date(1997, 6, 30)))
+    orders = plan.delivered_only(i.shop_orders)
+    return plan.kpi_overview(_selected(i, plan.filter_orders(orders, first=date(1995, 1, 1), last=date(1997, 6, 30))))
 
 
 def _empty(i: Inputs) -> DataFrame:
@@ -112,8 +121,11 @@ SPECS: dict[str, Spec] = {
         lambda i: plan.delivery_histogram(delivered(i)),
         MART_VIEWS,
         _CHAIN
-        + """select delivery_days as days_from, is_late, count(*) as orders
-        from delivered where delivery_days is not null group by 1, 2""",
+        + """, ends as (select min(delivery_days) as lo, max(delivery_days) as hi from delivered),
+        chosen as (select min(m * cast(power(10, k) as bigint)) as w from range(10) d(k), (values (1), (2), (5)) s(m), ends
+            where floor(hi / (m * power(10, k))) - floor(lo / (m * power(10, k))) + 1 <= 30)
+        select cast(floor(delivery_days / w) * w as int) as days_from, cast(w as int) as width, is_late, count(*) as orders
+        from delivered, chosen where delivery_days is not null group by 1, 2, 3""",
     ),
     "category_list": Spec(
         lambda i: plan.category_list(delivered(i)),

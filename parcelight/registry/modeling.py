@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from parcelight.functions.text import late_label
 from parcelight.operators import history, orders
 from parcelight.operators import statistics as stats
 from parcelight.operators.orders import PURCHASED
-from parcelight.plans import dashboard, modeling
+from parcelight.plans import dashboard, model_tables, modeling
 from parcelight.registry.orders import (
     FEATURES_SQL,
     MART_SQL,
@@ -30,6 +30,8 @@ from parcelight.sources.fixtures import Inputs
 _NUMERIC = ("n_items", "total_price", "total_freight", "freight_to_price_ratio",
             "payment_installments", "promised_days")
 _TEXT = ("payment_type", "product_category")
+_KNOWN = "product_category < 'Brand#44'"
+_KINDS = ("payment_type", "product_category")
 
 
 def unfilled(i: Inputs) -> DataFrame:
@@ -125,40 +127,84 @@ def _report_frame(i: Inputs, result: modeling.Evaluation, train: DataFrame, test
 _SAVED: dict[tuple[str, str, str], str] = {}
 
 
+def _fitted(i: Inputs, name: str, fit, train: DataFrame):
+    """A model fitted now, saved to the shared folder with its metadata and read again."""
+    folder = shared_path(i.spark, name)
+    numeric, categorical = modeling.feature_columns(train)
+    metadata = {"best_model": name, "numeric_features": numeric, "categorical_features": categorical}
+    modeling.save_model(i.spark, fit(train), metadata, folder)
+    _SAVED[(i.spark.sparkContext.applicationId, name, _digest(train))] = folder
+    return modeling.load_model(i.spark, folder)
+
+
+def _digest(train: DataFrame) -> str:
+    """Tells training rows apart, whatever their order."""
+    row = train.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*train.columns).cast("decimal(38,0)"))).first()
+    return f"{row[0]}:{row[1]}"
+
+
 def _saved(i: Inputs, name: str, fit, train: DataFrame):
-    """Model and metadata, fitted and saved once in an application, then loaded from the shared folder."""
-    key = (i.spark.sparkContext.applicationId, i.folder, name)
-    if key not in _SAVED:
-        folder = shared_path(i.spark, name)
-        numeric, categorical = modeling.feature_columns(train)
-        metadata = {"best_model": name, "numeric_features": numeric, "categorical_features": categorical}
-        modeling.save_model(i.spark, fit(train), metadata, folder)
-        _SAVED[key] = folder
-    return modeling.load_model(i.spark, _SAVED[key])
+    """The model of exactly these training rows, fitted only if this application has not done so."""
+    folder = _SAVED.get((i.spark.sparkContext.applicationId, name, _digest(train)))
+    return modeling.load_model(i.spark, folder) if folder else _fitted(i, name, fit, train)
 
 
 def _train_logistic(i: Inputs) -> DataFrame:
     train, test = _model_parts(i)
-    model, _ = _saved(i, "LogisticRegression", modeling.fit_logistic, train)
+    model, _ = _fitted(i, "LogisticRegression", modeling.fit_logistic, train)
     return _report_frame(i, modeling.evaluate("LogisticRegression", model, test), train, test)
 
 
 def _train_forest(i: Inputs) -> DataFrame:
     train, test = _model_parts(i)
-    model, _ = _saved(i, "RandomForest", modeling.fit_forest, train)
+    model, _ = _fitted(i, "RandomForest", modeling.fit_forest, train)
     return _report_frame(i, modeling.evaluate("RandomForest", model, test), train, test)
 
 
 def _train_light(i: Inputs) -> DataFrame:
     train, test = _parts(modeling.light_model_dataset(mart(i)), ["order_id"])
-    model, _ = _saved(i, "LightForest", modeling.fit_light_forest, train)
+    model, _ = _fitted(i, "LightForest", modeling.fit_light_forest, train)
     return _report_frame(i, modeling.evaluate("LightForest", model, test), train, test)
 
 
 def _importances(i: Inputs) -> DataFrame:
+    """Importances summed from the nodes of the forest."""
     train, _ = _model_parts(i)
     model, _ = _saved(i, "RandomForest", modeling.fit_forest, train)
-    return modeling.feature_importances(i.spark, modeling.top_importances(model, train))
+    nodes = model_tables.forest_table(i.spark, model)
+    return model_tables.ranked_importances(model_tables.forest_importances(nodes, modeling.expanded_names(model, train)))
+
+
+def _importance_chart(i: Inputs) -> DataFrame:
+    """Shares of the item prices by product, a long list of names and shares, ranked and cut like importances."""
+    lines = i.lineitem.join(i.part.where("p_size <= 10"), F.col("l_partkey") == F.col("p_partkey"))
+    whole = lines.agg(F.sum("l_quantity")).scalar()
+    listed = lines.groupBy(
+        F.concat_ws(" ", "p_type", "p_brand", F.lit("as sold by all sellers in one order line")).alias("feature")
+    ).agg(F.sum("l_quantity").alias("q"))
+    return model_tables.ranked_importances(listed.select("feature", (F.col("q") / whole).alias("importance")))
+
+
+_CHART_SQL = f"""with listed as (
+    select p_type || ' ' || p_brand || ' as sold by all sellers in one order line' as feature,
+        sum(l_quantity) / (select sum(l_quantity) from lineitem join part on l_partkey = p_partkey where p_size <= 10) as importance
+    from lineitem join part on l_partkey = p_partkey where p_size <= 10 group by 1)
+select cast(row_number() over (order by importance desc, feature) as int) as rank, feature[:45] as feature,
+    {rounded("importance", 4)} as importance, {rounded("importance", 4)} > 0.03 as highlight
+from listed order by rank limit 10"""
+
+
+def _preprocessed(i: Inputs) -> DataFrame:
+    """The feature vector as training makes it, from a fitted pipeline that was saved and loaded."""
+    rows = unfilled(i).select("order_id", *_NUMERIC, *_KINDS)
+    seen = rows.where(_KNOWN)
+    path = shared_path(i.spark, "preprocessing")
+    Pipeline(stages=modeling.preprocessing(list(_NUMERIC), list(_KINDS))).fit(seen).write().save(path)
+    made = PipelineModel.load(path).transform(rows).withColumn("__v", vector_to_array("features"))
+    slot = lambda c: (F.array_position(vector_to_array(f"{c}__h"), F.lit(1.0)) - 1).cast("int").alias(f"{c}_slot")
+    return made.select(
+        "order_id", *[round_half_up(F.col("__v")[n], 6).alias(c) for n, c in enumerate(_NUMERIC)], *[slot(c) for c in _KINDS]
+    )
 
 
 def _decisions(df: DataFrame, model, metadata: dict) -> DataFrame:
@@ -168,9 +214,11 @@ def _decisions(df: DataFrame, model, metadata: dict) -> DataFrame:
 
 
 def _score_orders(i: Inputs) -> DataFrame:
-    """Every order, scored by the saved model of the early ones."""
+    """Every order, scored by the weight table of the model of the early ones."""
     train, test = _model_parts(i)
-    return _decisions(train.unionByName(test), *_saved(i, "LogisticRegression", modeling.fit_logistic, train))
+    model, _ = _saved(i, "LogisticRegression", modeling.fit_logistic, train)
+    scored = model_tables.score_with_table(train.unionByName(test), model_tables.logistic_table(i.spark, model))
+    return scored.select("order_id", "late_probability", "predicted_late", late_label(F.col("predicted_late")).alias("label"))
 
 
 def _score_what_if(i: Inputs) -> DataFrame:
@@ -181,15 +229,12 @@ def _score_what_if(i: Inputs) -> DataFrame:
 
 # ---- parts of the models that SQL can say --------------------------------------
 
-_KNOWN = "product_category < 'Brand#44'"
-_KINDS = ("payment_type", "product_category")
-
 
 def _one_hot(i: Inputs) -> DataFrame:
     """The one-hot slot of each category, -1 for a category that the fit did not see."""
     rows = unfilled(i).select("order_id", "total_price", *_KINDS)
     seen = rows.where(_KNOWN)
-    fitted = Pipeline(stages=modeling.preprocessing(seen, ["total_price"], list(_KINDS))).fit(seen)
+    fitted = Pipeline(stages=modeling.preprocessing(["total_price"], list(_KINDS))).fit(seen)
     place = lambda c: (F.array_position(vector_to_array(f"{c}__h"), F.lit(1.0)) - 1).cast("int").alias(f"{c}_slot")
     return fitted.transform(rows).select("order_id", *[place(c) for c in _KINDS])
 
@@ -316,6 +361,28 @@ SPECS: dict[str, Spec] = {
             f"left join {c}_slots s{n} on s{n}.v = coalesce({c}, (select common from {c}_mode))" for n, c in enumerate(_KINDS)
         ),
     ),
+    "preprocessed_features": Spec(
+        _preprocessed,
+        STAR + " shop_payments",
+        _UNFILLED_SQL
+        + f", seen as (select * from unfilled where {_KNOWN}), medians as (select "
+        + ", ".join(f"median({c}) as {c}" for c in _NUMERIC)
+        + " from seen), filled as (select "
+        + ", ".join(f"coalesce(seen.{c}, m.{c})::double as {c}" for c in _NUMERIC)
+        + " from seen, medians m), figures as (select "
+        + ", ".join(f"avg({c}) as {c}_m, stddev_pop({c}) as {c}_s" for c in _NUMERIC)
+        + " from filled), "
+        + ", ".join(_slots_sql(c) for c in _KINDS)
+        + " select order_id, "
+        + ", ".join(f"{rounded(f'(coalesce(unfilled.{c}, m.{c})::double - {c}_m) / {c}_s', 6)} as {c}" for c in _NUMERIC)
+        + ", "
+        + ", ".join(f"coalesce(s{n}.slot, -1) as {c}_slot" for n, c in enumerate(_KINDS))
+        + " from unfilled cross join medians m cross join figures "
+        + " ".join(
+            f"left join {c}_slots s{n} on s{n}.v = coalesce(unfilled.{c}, (select common from {c}_mode))" for n, c in enumerate(_KINDS)
+        ),
+    ),
+    "importance_chart": Spec(_importance_chart, sql=_CHART_SQL),
     "model_choice": Spec(_choice, "score_table", _CHOICE_SQL),
     "train_logistic": Spec(_train_logistic),
     "train_forest": Spec(_train_forest),

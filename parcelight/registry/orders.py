@@ -10,7 +10,9 @@ from parcelight.operators import history, orders
 from parcelight.operators.orders import DELIVERED, PROMISED, PURCHASED
 from parcelight.plans import modeling
 from parcelight.registry.spec import Spec, rounded
+from parcelight.session import shared_path
 from parcelight.sources.fixtures import Inputs
+from parcelight.streaming.seller_history import SellerHistory
 
 STAR = "shop_orders shop_items shop_products shop_sellers shop_customers"
 
@@ -172,6 +174,18 @@ def split_frame(i: Inputs) -> DataFrame:
     return history.time_split(timed, _TIME)
 
 
+def _arriving(i: Inputs) -> DataFrame:
+    """Seller history after three arrivals, the last of them orders from among the others."""
+    arrivals = SellerHistory(i.spark, shared_path(i.spark, "seller-history"), unit="month")
+    late = F.col("order_id") % 7 == 0
+    early = F.col(PURCHASED) < "1998-01-01"
+    for number, chosen in enumerate((~late & early, ~late & ~early, late)):
+        orders_now = i.shop_orders.where(chosen)
+        arrivals.add(number, orders_now, orders.lines_of(orders_now, i.shop_items))
+    rate = round_half_up(F.col("seller_hist_late_rate"), 6).alias("seller_hist_late_rate")
+    return arrivals.rates().select("order_id", rate)
+
+
 _SPLIT_SQL = f""", timed as (select order_id, order_purchase_timestamp,
         cast(order_delivered_customer_date > order_estimated_delivery_date as int) as target_late
     from shop_orders where {DELIVERED_SQL}),
@@ -245,6 +259,9 @@ SPECS: dict[str, Spec] = {
         STAR,
         f", {HISTORY_SQL} select order_id, {rounded('rate', 6)} as seller_hist_late_rate from history",
     ),
+    "arriving_seller_history": Spec(
+        _arriving, STAR, f", {HISTORY_SQL} select order_id, {rounded('rate', 6)} as seller_hist_late_rate from history"
+    ),
     "global_running_late_rate": Spec(
         lambda i: history.global_running_late_rate(i.shop_orders, i.shop_items),
         STAR,

@@ -13,6 +13,7 @@ from parcelight.plans.dashboard import value_list
 from parcelight.registry.spec import Spec, rounded, words_sql
 from parcelight.session import shared_path
 from parcelight.sources.fixtures import Inputs
+from parcelight.sources.quoted_csv import scan_split_csv
 from parcelight.sources.readers import NULL_TOKENS, scan_csv
 from parcelight.sources.schemas import RAW_REVIEWS, REVIEW_HEADER, REVIEWS, ROW_NUMBER_HEADER
 from parcelight.sources.sinks import write_csv
@@ -66,6 +67,15 @@ def _csv_scan(inputs: Inputs) -> DataFrame:
     return quality.tidy_names(back.withColumnRenamed(ROW_NUMBER_HEADER, "review_id"))
 
 
+def _split_csv_scan(inputs: Inputs) -> DataFrame:
+    """The same file read in byte ranges."""
+    spark = inputs.spark
+    path = shared_path(spark, "reviews-csv")
+    write_csv(inputs.apparel_reviews_raw.withColumnsRenamed(raw_names()), path)
+    back = scan_split_csv(spark, path, in_written_order(inputs))
+    return quality.tidy_names(back.withColumnRenamed(ROW_NUMBER_HEADER, "review_id"))
+
+
 def in_written_order(inputs: Inputs):
     from pyspark.sql import types as T
 
@@ -150,6 +160,7 @@ def _lenient(inputs: Inputs) -> DataFrame:
 
 SPECS: dict[str, Spec] = {
     "csv_scan": Spec(_csv_scan, RAW, CSV_COLUMNS_SQL),
+    "split_csv_scan": Spec(_split_csv_scan, RAW, CSV_COLUMNS_SQL),
     "table_profile": Spec(
         lambda i: quality.table_profile(i.apparel_reviews_raw),
         RAW,

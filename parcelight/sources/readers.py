@@ -31,14 +31,8 @@ def null_tokens_to_null(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TOKENS), value)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row; every missing-value token becomes null.
-
-    Fields are read as text first, so that a token in a number column is a null
-    and not a reading error, and cast after that.
-    """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.options(**CSV_OPTIONS).schema(as_text).csv(path)
+def typed_fields(schema: T.StructType) -> list[Column]:
+    """Fields read as text in their own types; every missing-value token becomes null."""
 
     def typed(field: T.StructField) -> Column:
         value = null_tokens_to_null(F.col(f"`{field.name}`"))
@@ -47,7 +41,19 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             value = value.cast("decimal(38,6)")
         return value.cast(field.dataType).alias(field.name)
 
-    return raw.select(*[typed(f) for f in schema.fields])
+    return [typed(f) for f in schema.fields]
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header row; every missing-value token becomes null.
+
+    Fields are read as text first, so that a token in a number column is a null
+    and not a reading error, and cast after that.  A file is one task here;
+    ``quoted_csv.scan_split_csv`` splits large files.
+    """
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = spark.read.options(**CSV_OPTIONS).schema(as_text).csv(path)
+    return raw.select(*typed_fields(schema))
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
