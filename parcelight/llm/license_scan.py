@@ -34,19 +34,26 @@ class Rule:
     pattern: str  # over words with a blank before each; ends before a blank
 
 
-# label, keyword that every match holds, the name in words, its short identifier, and whether the bare name tells enough
+# label, keyword that every match holds, the name in words, its short identifier (once a license), and whether the
+# bare name tells enough
 _LICENSES = (
     ("mit", "mit", "mit(?: expat)?", "mit", False),
     ("mit-0", "mit", "mit no attribution", "mit 0", True),
     ("apache-2", "apache", "apache(?: software)?(?: license| licence)?(?: version| v)? ?2(?: 0)?", "apache 2 0", True),
     ("apache-1.1", "apache", "apache(?: software)?(?: license| licence)?(?: version| v)? ?1 1", "apache 1 1", True),
-    ("gpl-3", "g", "(?:gnu )?(?:general public license|gpl)(?: version| v)? ?v?3(?: 0)?", "gpl 3 0(?: only| or later)?", True),
-    ("gpl-2", "g", "(?:gnu )?(?:general public license|gpl)(?: version| v)? ?v?2(?: 0)?", "gpl 2 0(?: only| or later)?", True),
-    ("gpl", "g", "gnu (?:general public license|gpl)", "gpl", True),
-    ("lgpl-3", "l", "(?:gnu )?(?:lesser general public license|lgpl)(?: version| v)? ?v?3(?: 0)?", "lgpl 3 0(?: only| or later)?", True),
-    ("lgpl-2.1", "l", "(?:gnu )?(?:lesser general public license|lgpl)(?: version| v)? ?v?2 1", "lgpl 2 1(?: only| or later)?", True),
-    ("lgpl", "l", "gnu (?:lesser|library) general public license", "lgpl", True),
-    ("agpl-3", "a", "(?:gnu )?(?:affero general public license|agpl)(?: version| v)? ?v?3(?: 0)?", "agpl 3 0(?: only| or later)?", True),
+    ("gpl-3", "gpl", "(?:gnu )?gpl(?: version| v)? ?v?3(?: 0)?", "gpl 3 0(?: only| or later)?", True),
+    ("gpl-3", "general public", "(?:gnu )?general public license(?: version| v)? ?v?3(?: 0)?", "", True),
+    ("gpl-2", "gpl", "(?:gnu )?gpl(?: version| v)? ?v?2(?: 0)?", "gpl 2 0(?: only| or later)?", True),
+    ("gpl-2", "general public", "(?:gnu )?general public license(?: version| v)? ?v?2(?: 0)?", "", True),
+    ("gpl", "gpl", "gnu gpl", "gpl", True),
+    ("gpl", "general public", "gnu general public license", "", True),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl(?: version| v)? ?v?3(?: 0)?", "lgpl 3 0(?: only| or later)?", True),
+    ("lgpl-3", "lesser", "(?:gnu )?lesser general public license(?: version| v)? ?v?3(?: 0)?", "", True),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl(?: version| v)? ?v?2 1", "lgpl 2 1(?: only| or later)?", True),
+    ("lgpl-2.1", "lesser", "(?:gnu )?lesser general public license(?: version| v)? ?v?2 1", "", True),
+    ("lgpl", "general public", "gnu (?:lesser|library) general public license", "lgpl", True),
+    ("agpl-3", "agpl", "(?:gnu )?agpl(?: version| v)? ?v?3(?: 0)?", "agpl 3 0(?: only| or later)?", True),
+    ("agpl-3", "affero", "(?:gnu )?affero general public license(?: version| v)? ?v?3(?: 0)?", "", True),
     ("agpl", "affero", "gnu affero general public license", "agpl", True),
     ("fdl-1.3", "free", "(?:gnu )?free documentation license(?: version)? 1 3", "gfdl 1 3(?: only| or later)?", True),
     ("fdl", "free", "gnu free documentation license", "gfdl", True),
@@ -56,35 +63,48 @@ _LICENSES = (
     ("bsd-0", "bsd", "(?:zero clause bsd|0bsd|bsd zero clause)", "0bsd", True),
     ("bsd", "bsd", "bsd", "bsd", False),
     ("isc", "isc", "isc", "isc", False),
-    ("mpl-2", "m", "(?:mozilla public license|mpl)(?: version| v)? ?2(?: 0)?", "mpl 2 0", True),
-    ("mpl-1.1", "m", "(?:mozilla public license|mpl)(?: version| v)? ?1 1", "mpl 1 1", True),
-    ("epl-2", "e", "(?:eclipse public license|epl)(?: version| v)? ?2(?: 0)?", "epl 2 0", True),
-    ("epl-1", "e", "(?:eclipse public license|epl)(?: version| v)? ?1(?: 0)?", "epl 1 0", True),
-    ("cddl-1", "c", "(?:common development and distribution license|cddl)(?: version)?(?: 1(?: 0)?)?", "cddl 1 0", True),
+    ("mpl-2", "mpl", "mpl(?: version| v)? ?2(?: 0)?", "mpl 2 0", True),
+    ("mpl-2", "mozilla", "mozilla public license(?: version| v)? ?2(?: 0)?", "", True),
+    ("mpl-1.1", "mpl", "mpl(?: version| v)? ?1 1", "mpl 1 1", True),
+    ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? ?1 1", "", True),
+    ("epl-2", "epl", "epl(?: version| v)? ?2(?: 0)?", "epl 2 0", True),
+    ("epl-2", "eclipse", "eclipse public license(?: version| v)? ?2(?: 0)?", "", True),
+    ("epl-1", "epl", "epl(?: version| v)? ?1(?: 0)?", "epl 1 0", True),
+    ("epl-1", "eclipse", "eclipse public license(?: version| v)? ?1(?: 0)?", "", True),
+    ("cddl-1", "cddl", "cddl(?: version)?(?: 1(?: 0)?)?", "cddl 1 0", True),
+    ("cddl-1", "common development", "common development and distribution license(?: version)?(?: 1(?: 0)?)?", "", True),
     ("cpl-1", "common", "common public license(?: version)?(?: 1(?: 0)?)?", "cpl 1 0", True),
-    ("eupl-1.2", "e", "(?:european union public licen[cs]e|eupl)(?: version| v)?(?: 1 2)?", "eupl 1 2", True),
+    ("eupl-1.2", "eupl", "eupl(?: version| v)?(?: 1 2)?", "eupl 1 2", True),
+    ("eupl-1.2", "european union", "european union public licen[cs]e(?: version| v)?(?: 1 2)?", "", True),
     ("artistic-2", "artistic", "(?:the )?artistic license(?: version)? 2(?: 0)?", "artistic 2 0", True),
     ("artistic-1", "artistic", "(?:the )?artistic license", "artistic 1 0", True),
     ("bsl-1", "boost", "boost software license(?: version)?(?: 1(?: 0)?)?", "bsl 1 0", True),
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib", False),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense", True),
-    ("wtfpl", "f", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl", True),
+    ("wtfpl", "wtfpl", "wtfpl", "wtfpl", True),
+    ("wtfpl", "do what the", "do what the fuck you want to public license", "", True),
     ("python-2", "python", "python software foundation license(?: version)?(?: 2)?", "psf 2 0", True),
     ("postgresql", "postgresql", "postgresql", "postgresql", False),
     ("openssl", "openssl", "openssl", "openssl", False),
     ("php-3", "php", "php license(?: version)? 3(?: 01?)?", "php 3 01", True),
     ("ruby", "ruby", "ruby", "ruby", False),
-    ("ofl-1.1", "o", "(?:sil )?open font license(?: version)?(?: 1 1)?", "ofl 1 1", True),
+    ("ofl-1.1", "open font", "(?:sil )?open font license(?: version)?(?: 1 1)?", "ofl 1 1", True),
     ("odbl-1", "open", "open database license(?: version| v)?(?: 1(?: 0)?)?", "odbl 1 0", True),
     ("odc-by-1", "open", "open data commons attribution license(?: v?1(?: 0)?)?", "odc by 1 0", True),
     ("pddl-1", "public", "public domain dedication and license(?: v?1(?: 0)?)?", "pddl 1 0", True),
     ("cc0-1", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0", True),
-    ("cc-by-nc-nd", "c", "(?:creative commons|cc) (?:by nc nd|attribution noncommercial noderiv\\w*)(?: \\d 0)?", "cc by nc nd \\d 0", True),
-    ("cc-by-nc-sa", "c", "(?:creative commons|cc) (?:by nc sa|attribution noncommercial sharealike)(?: \\d 0)?", "cc by nc sa \\d 0", True),
-    ("cc-by-nc", "c", "(?:creative commons|cc) (?:by nc|attribution non ?commercial)(?: \\d 0)?", "cc by nc \\d 0", True),
-    ("cc-by-nd", "c", "(?:creative commons|cc) (?:by nd|attribution noderiv\\w*)(?: \\d 0)?", "cc by nd \\d 0", True),
-    ("cc-by-sa", "c", "(?:creative commons|cc) (?:by sa|attribution share ?alike)(?: \\d 0)?", "cc by sa \\d 0", True),
-    ("cc-by", "c", "(?:creative commons attribution|cc by)(?: \\d 0)?", "cc by \\d 0", True),
+    ("cc-by-nc-nd", " cc ", "cc (?:by nc nd|attribution noncommercial noderiv\\w*)(?: \\d 0)?", "cc by nc nd \\d 0", True),
+    ("cc-by-nc-nd", "creative commons", "creative commons (?:by nc nd|attribution noncommercial noderiv\\w*)(?: \\d 0)?", "", True),
+    ("cc-by-nc-sa", " cc ", "cc (?:by nc sa|attribution noncommercial sharealike)(?: \\d 0)?", "cc by nc sa \\d 0", True),
+    ("cc-by-nc-sa", "creative commons", "creative commons (?:by nc sa|attribution noncommercial sharealike)(?: \\d 0)?", "", True),
+    ("cc-by-nc", " cc ", "cc (?:by nc|attribution non ?commercial)(?: \\d 0)?", "cc by nc \\d 0", True),
+    ("cc-by-nc", "creative commons", "creative commons (?:by nc|attribution non ?commercial)(?: \\d 0)?", "", True),
+    ("cc-by-nd", " cc ", "cc (?:by nd|attribution noderiv\\w*)(?: \\d 0)?", "cc by nd \\d 0", True),
+    ("cc-by-nd", "creative commons", "creative commons (?:by nd|attribution noderiv\\w*)(?: \\d 0)?", "", True),
+    ("cc-by-sa", " cc ", "cc (?:by sa|attribution share ?alike)(?: \\d 0)?", "cc by sa \\d 0", True),
+    ("cc-by-sa", "creative commons", "creative commons (?:by sa|attribution share ?alike)(?: \\d 0)?", "", True),
+    ("cc-by", "cc by", "cc by(?: \\d 0)?", "cc by \\d 0", True),
+    ("cc-by", "creative commons", "creative commons attribution(?: \\d 0)?", "", True),
     ("ms-pl", "microsoft", "microsoft public license", "ms pl", True),
     ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl", True),
     ("ncsa", "illinois", "university of illinois(?: ncsa)?(?: open source)?", "ncsa", False),
@@ -92,7 +112,8 @@ _LICENSES = (
     ("w3c", "w3c", "w3c(?: software)?", "w3c", False),
     ("x11", "x11", "x11", "x11", False),
     ("busl-1.1", "business", "business source license(?: 1 1)?", "busl 1 1", True),
-    ("sspl-1", "s", "(?:server side public license|sspl)(?: version| v)?(?: 1)?", "sspl 1 0", True),
+    ("sspl-1", "sspl", "sspl(?: version| v)?(?: 1)?", "sspl 1 0", True),
+    ("sspl-1", "server side", "server side public license(?: version| v)?(?: 1)?", "", True),
     ("elastic-2", "elastic", "elastic license(?: 2(?: 0)?)?", "elastic 2 0", True),
 )
 _OTHERS = (
@@ -106,30 +127,62 @@ _OTHERS = (
 )
 
 
+# Bodies of notices that name no license, or name its version apart.
+_SOFTWARE = " gnu {kind} license(?: \\w+){{0,3}} as published by the free software foundation (?:either )?version {number}"
+_BODIES = (
+    Rule("mit", "permission is hereby granted", 4, 0.9, " permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    Rule("bsd", "redistribution and use", 3, 0.85, " redistribution and use in source and binary forms"),
+    Rule("bsd-3", "endorse or promote", 4, 0.9, " neither the name of(?: \\S+){1,20}? may be used to endorse or promote products"),
+    Rule("isc", "permission to use copy", 4, 0.9, " permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    Rule("apache-2", "except in compliance", 4, 0.9, " you may not use this (?:file|software|work) except in compliance with the license"),
+    *[
+        Rule(f"{short}-{label}", kind, 5, 0.95, _SOFTWARE.format(kind=kind, number=number))
+        for short, kind, label, number in (
+            ("gpl", "general public", "3", "3"),
+            ("gpl", "general public", "2", "2"),
+            ("lgpl", "lesser general public", "3", "3"),
+            ("lgpl", "lesser general public", "2.1", "2 1"),
+            ("agpl", "affero general public", "3", "3"),
+        )
+    ],
+)
+
+
 def signature_rules() -> tuple[Rule, ...]:
-    """Every license in its usual statements, in the order of precedence."""
+    """Every license in its usual statements, in the order of precedence.
+
+    A bare name that is also an ordinary word or the name of an institution counts
+    only next to the word license: prose may well be published by such a name.
+    """
     rules = []
     for label, keyword, name, short, plain in _LICENSES:
+        end = "(?: licen[cs]e)?(?: version \\d(?: \\d)?)?"
+        sure = " licen[cs]e(?: version \\d(?: \\d)?)?"
+        terms = "(?: the)?(?: terms of)?(?: the)?(?: a)?"
+        if short:
+            rules.append(Rule(label, "spdx", 5, 1.0, f" spdx license identifier {short}"))
+        if plain:
+            stated = f" (?:(?:licen[cs]ed|released|distributed|available|published|provided) under|(?:covered|governed) (?:under|by)){terms} {name}{end}"
+        else:
+            stated = (
+                f" (?:licen[cs]ed under{terms} {name}{end}"
+                f"|(?:(?:released|distributed|available|published|provided) under|(?:covered|governed) (?:under|by)){terms} {name}{sure})"
+            )
         rules += [
-            Rule(label, "spdx", 5, 1.0, f" spdx license identifier {short}"),
-            Rule(
-                label, keyword, 4, 0.95,
-                f" (?:licen[cs]ed|released|distributed|available|published|provided|covered|covers?|governed) (?:under|by)(?: the)?"
-                f"(?: terms of)?(?: the)?(?: a)? {name}(?: licen[cs]e)?(?: version \\d(?: \\d)?)?",
-            ),
+            Rule(label, keyword, 4, 0.95, stated),
             Rule(label, "licen", 3, 0.9, f" {name} licen[cs]ed?(?: version \\d(?: \\d)?)?"),
             Rule(label, "licen", 2, 0.8, f" licen[cs]e(?: type| name| is)?(?: the)? {name}"),
-        ]
+        ]
         if plain:
             rules.append(Rule(label, keyword, 1, 0.5, f" {name}"))
-    return (*rules, *_OTHERS)
+    return (*rules, *_BODIES, *_OTHERS)
 
 
 # What every rule and phrase needs somewhere in the text; others are not normalised.
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GATE = (
-    r"(?i)licen[cs]|copyright|spdx|rights" + _GAP + r"reserved|public" + _GAP + r"domain|permission" + _GAP + r"is"
-    r"|proprietary|redistribut|creative" + _GAP + r"commons|cc" + _GAP + r"(?:by|attribution)|cc0|apache|gpl|mpl|epl|cddl|eupl|sspl|affero|wtfpl|0bsd|bsd"
+    r"(?i)licen[cs]|copyright|spdx|rights" + _GAP + r"reserved|public" + _GAP + r"domain|permission" + _GAP + r"(?:is|to" + _GAP + r"use)"
+    r"|proprietary|redistribut|endorse" + _GAP + r"or" + _GAP + r"promote|creative" + _GAP + r"commons|cc" + _GAP + r"(?:by|attribution)|cc0|apache|gpl|mpl|epl|cddl|eupl|sspl|affero|wtfpl|0bsd|bsd"
     r"|(?:licensed|released|distributed|available|published|provided|covered|covers?|governed)" + _GAP + r"(?:under|by)"
     r"|public" + _GAP + r"licen|mit" + _GAP + r"no" + _GAP + r"attribution"
 )
@@ -269,7 +322,11 @@ def scan_licenses(docs: DataFrame, rules: tuple[Rule, ...] | None = None, text_c
 
 
 def license_digest(docs: DataFrame) -> DataFrame:
-    """The scan's counts, places, labels and score, a row for each document."""
+    """The scan's counts, places, labels and score, a row for each document.
+
+    A null or empty text gives no words, null places, empty labels and score 0;
+    repeated rows give repeated rows.
+    """
     found = scan_licenses(docs)
     starts = F.transform("base", lambda b: b["start"])
     names = lambda column: F.transform(column, lambda b: b["label"])
