@@ -1,9 +1,11 @@
 """Quality rules over words and lines, with line frequency across the documents of a host.
 
 Lines are normalised (words joined by one blank, A-Z in lower case) and hashed.
-For each host the distinct documents that hold a line are counted; a line above
-the host's limit is boilerplate and is removed; a document that loses most of
-its words that way is rejected.
+For each host the distinct documents that hold a line are counted, where equal
+texts are one document: copies of a text do not make its lines boilerplate, they
+are for a deduplication to judge.  A line in more documents than the limit, the
+same for every host, is removed; a document that loses most of its words that
+way is rejected.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ def repeated_words(words: list[bytes], window: int = 3) -> int:
 
 
 def text_measures(text: str) -> tuple:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, words of those lines in the text)."""
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, digest, line hashes, words of those lines in the text)."""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.split()
     chars = len(text) - sum(text.count(c) for c in _SPACES)
@@ -63,7 +65,7 @@ def text_measures(text: str) -> tuple:
             seen.add(line)
         key = xxhash.xxh3_64_intdigest(b" ".join(parts).translate(_LOWER)) - (1 << 63)
         found[key] = found.get(key, 0) + len(parts)
-    return len(words), chars, symbols, duplicates, repeated_words(words), list(found), list(found.values())
+    return len(words), chars, symbols, duplicates, repeated_words(words), xxhash.xxh3_64_intdigest(raw) - (1 << 63), list(found), list(found.values())
 
 
 _FIELDS = [
@@ -72,6 +74,7 @@ _FIELDS = [
     ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()),
     ("n_repeat_words", pa.int64()),
+    ("__text_key", pa.int64()),
     ("__lines", pa.list_(pa.int64())),
     ("__line_words", pa.list_(pa.int64())),
 ]
@@ -96,7 +99,7 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
 
     schema = (
         f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, __host string, n_words bigint, word_chars bigint, "
-        "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, __lines array<bigint>, __line_words array<bigint>"
+        "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, __text_key bigint, __lines array<bigint>, __line_words array<bigint>"
     )
     return slim.mapInArrow(run, schema)
 
@@ -107,29 +110,23 @@ def quality_rules(
     least_words: int = 50,
     most_repeated: int = 50,
     least_documents: int = 25,
-    share: float = 0.005,
     least_left: float = 0.3,
 ) -> DataFrame:
     """Measures of every document, the base verdict and the verdict after boilerplate lines are gone.
 
-    A line is boilerplate on its host when more than ``least_documents`` and more
-    than ``share`` of the host's documents hold it.  A document is depleted when
-    less than ``least_left`` of its words is left.  One row for each input row; a
-    null text has no words, a null host is a host of its own, and rows that
-    repeat an id count as documents of their own.
+    A line is boilerplate on its host when more than ``least_documents`` different
+    texts hold it, however large the host is.  A document is depleted when less
+    than ``least_left`` of its words is left.  One row for each input row; a null
+    text has no words, a null host is a host of its own, and rows that repeat an
+    id are documents of their own.
     """
     base = cut_lineage(measured(docs, host).withColumn("__row", F.monotonically_increasing_id()))
-    lines = base.select("__row", "__host", F.explode(F.arrays_zip("__lines", "__line_words")).alias("__l")).select(
-        "__row", "__host", F.col("__l.__lines").alias("__line"), F.col("__l.__line_words").alias("__n")
-    )
-    # a document names a line once, so rows are documents; counts are summed before the shuffle
-    held = lines.groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__docs")).where(F.col("__docs") > least_documents)
-    hosts = base.groupBy("__host").agg(F.count(F.lit(1)).alias("__all"))
-    common = (
-        held.join(hosts, held["__host"].eqNullSafe(hosts["__host"]))
-        .where(F.col("__docs") > share * F.col("__all"))
-        .select(held["__host"].alias("__common_host"), F.col("__line").alias("__common"))
+    lines = base.select("__row", "__host", "__text_key", F.explode(F.arrays_zip("__lines", "__line_words")).alias("__l")).select(
+        "__row", "__host", "__text_key", F.col("__l.__lines").alias("__line"), F.col("__l.__line_words").alias("__n")
     )
+    # a line of a hot host is spread over the texts that hold it before it is counted
+    held = lines.select("__host", "__line", "__text_key").distinct().groupBy("__host", "__line").agg(F.count(F.lit(1)).alias("__docs"))
+    common = held.where(F.col("__docs") > least_documents).select(F.col("__host").alias("__common_host"), F.col("__line").alias("__common"))
     removed = (
         lines.join(common, F.col("__host").eqNullSafe(F.col("__common_host")) & (F.col("__line") == F.col("__common")))
         .groupBy("__row")

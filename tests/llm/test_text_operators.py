@@ -232,7 +232,7 @@ def test_boilerplate_lines(spark, empty):
     notice = " ".join(f"Notice{k}" for k in range(200))
     rows = [(i, f"{own(i)}\n{notice}", "en", "a") for i in range(6)] + [(10, f"{own(10)}\n{notice}", "en", "b")]
     rows += [(20 + i, own(20 + i), "en", None) for i in range(3)]
-    found = by_id(quality_rules.quality_rules(frame(spark, rows), least_documents=4, share=0.1))
+    found = by_id(quality_rules.quality_rules(frame(spark, rows), least_documents=4))
     assert sorted(i for i, r in found.items() if r.depleted) == list(range(6))
     assert found[0].n_boilerplate_words == 200 and found[10].n_boilerplate_words == 0 and found[10].kept and found[21].kept
     assert quality_rules.quality_rules(empty).count() == 0
