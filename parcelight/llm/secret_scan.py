@@ -87,33 +87,61 @@ def find_parts(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: s
     )
 
 
+def _before_after(of: Column, column: str) -> dict[str, Column]:
+    """Columns with the last end before and the first start after a part, among some parts of its document."""
+    before = Window.partitionBy("__row").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("__row").orderBy(F.desc("start"), F.desc("kind"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return {
+        f"__{column}_before": F.max(F.when(of, F.col("end"))).over(before),
+        f"__{column}_after": F.min(F.when(of, F.col("start"))).over(after),
+    }
+
+
+def apart(parts: DataFrame) -> DataFrame:
+    """Certain finds, and weak candidates that overlap neither them nor one another.
+
+    A weak candidate over a certain find says nothing new.  Of weak candidates
+    that overlap, the one that starts first stays, then the longer one, then the
+    kind listed first: a span of text is one part of a credential.
+    """
+    sure = F.col("kind") < 3
+    near = parts.withColumns(_before_after(sure, "sure"))
+    free = F.coalesce(F.col("__sure_before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("__sure_after") >= F.col("end"), F.lit(True))
+    weak = near.where(~sure & free).groupBy("__row").agg(
+        F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), "kind"))).alias("w")
+    )
+    kept = F.aggregate(
+        "w",
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,back:int,kind:int>>").alias("out")),
+        lambda acc, x: F.when(
+            x["start"] >= acc["at"], F.struct((-x["back"]).alias("at"), F.concat(acc["out"], F.array(x)).alias("out"))
+        ).otherwise(acc),
+    )["out"]
+    alone = weak.select("__row", F.explode(kept).alias("x")).select("__row", "x.start", "x.kind", (-F.col("x.back")).alias("end"))
+    return parts.where(sure).select("__row", "start", "kind", "end").unionByName(alone)
+
+
 def linked_parts(parts: DataFrame, scope: int = 200) -> DataFrame:
     """Rows of (__row, start, kind, end): certain finds, and weak ones whose complement is within ``scope``.
 
-    An identifier needs a secret, a secret an identifier, an endpoint both.  The
-    nearest part to either side comes from running extremes over the parts of
-    one document, so no pairs are made.
+    An identifier needs a secret, a secret an identifier, an endpoint both.  A
+    complement is a certain find or a weak candidate that stands apart, so it never
+    overlaps what it completes.  The nearest part to either side comes from
+    running extremes over the parts of one document, so no pairs are made.
     """
-    is_id = F.col("kind").isin(1, 3)
-    is_secret = F.col("kind").isin(0, 2, 4)
-    before = Window.partitionBy("__row").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("__row").orderBy(F.desc("start"), F.desc("kind"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
-    near = lambda left, right: F.coalesce(F.col("start") - F.col(left) <= scope, F.lit(False)) | F.coalesce(F.col(right) - F.col("end") <= scope, F.lit(False))
-    with_near = (
-        parts.withColumn("__id_before", F.max(F.when(is_id, F.col("end"))).over(before))
-        .withColumn("__secret_before", F.max(F.when(is_secret, F.col("end"))).over(before))
-        .withColumn("__sure_before", F.max(F.when(F.col("kind") < 3, F.col("end"))).over(before))
-        .withColumn("__id_after", F.min(F.when(is_id, F.col("start"))).over(after))
-        .withColumn("__secret_after", F.min(F.when(is_secret, F.col("start"))).over(after))
-        .withColumn("__sure_after", F.min(F.when(F.col("kind") < 3, F.col("start"))).over(after))
+    near = lambda part: F.coalesce(F.col("start") - F.col(f"__{part}_before") <= scope, F.lit(False)) | F.coalesce(
+        F.col(f"__{part}_after") - F.col("end") <= scope, F.lit(False)
+    )
+    with_near = apart(parts).withColumns(
+        _before_after(F.col("kind").isin(1, 3), "id") | _before_after(F.col("kind").isin(0, 2, 4), "secret")
     )
-    has_id, has_secret = near("__id_before", "__id_after"), near("__secret_before", "__secret_after")
-    # a weak candidate that overlaps a certain find says nothing new
-    free = F.coalesce(F.col("__sure_before") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("__sure_after") >= F.col("end"), F.lit(True))
     complete = (
-        F.when(F.col("kind") == 3, has_secret).when(F.col("kind") == 4, has_id).when(F.col("kind") == 5, has_id & has_secret).otherwise(True)
+        F.when(F.col("kind") == 3, near("secret"))
+        .when(F.col("kind") == 4, near("id"))
+        .when(F.col("kind") == 5, near("id") & near("secret"))
+        .otherwise(True)
     )
-    return with_near.where((F.col("kind") < 3) | (free & complete)).select("__row", "start", "kind", "end")
+    return with_near.where(complete).select("__row", "start", "kind", "end")
 
 
 def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), scope: int = 200, text_col: str = "text") -> DataFrame:
@@ -123,7 +151,7 @@ def scan_secrets(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), scope: in
     included; a null or empty text has no spans.
     """
     names = [f"__k{i}" for i in range(len(keep))]
-    renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("__in"))
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text_col}`").alias("__in"))
     found = cut_lineage(find_parts(renamed, tuple(names), "__in").withColumn("__row", F.monotonically_increasing_id()))
     parts = found.select("__row", F.explode(F.concat("base", "weak")).alias("__p")).select("__row", "__p.*")
     spans = (
@@ -148,7 +176,11 @@ def joined_spans(spans: Column) -> Column:
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
-    """Counts of the certain kinds, their digest, and all spans, a row for each document."""
+    """Counts of the certain kinds, their digest, and all spans, a row for each document.
+
+    A null or empty text has no finds and the digest of the empty string;
+    repeated rows give repeated rows.
+    """
     found = scan_secrets(docs)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
     return found.select(
