@@ -7,22 +7,25 @@ descending order, a crossover injects whole well-filled bins of one parent into
 another, drops the bins that share a document with them and places the displaced
 documents by best fit.
 
-Between rounds the well-filled bins of an island's best packing are final.  Its
-other bins migrate: they arrive on fewer islands, where one packing of the first
-generation holds them as they came, so that a neighbour's best bins can be
-injected there.  No island ever holds more than a bounded number of pieces.
+Between rounds a share of the elite, the fullest bins of an island's best packing,
+migrates together with the bins that are not full; the rest of the elite is final.
+What migrates arrives on fewer islands, where one packing of the first
+generation holds the bins as they came, so that crossover can inject the elite of
+other islands there.  A piece travels with its bin, so it is in one place at any
+time, and no island ever holds more than a bounded number of pieces.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,8 +38,10 @@ from parcelight.session import cut_lineage
 
 SEQUENCE = 4096
 END_OF_TEXT = 1
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 500_000  # of each of two generations
 _MARKS = ".,;:!?*&%#"
+# Latin letters up to U+017F whose lower case is one letter.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
 
 
 class WordTokens:
@@ -63,68 +68,86 @@ class WordTokens:
             self.ends[i] = token.endswith("</w>")
         # byte-level tokenizers write a byte that does not print as a letter from U+0100 on
         printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.letters = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in set(printed))}
+        self.letters = np.arange(256, dtype="<u4")
+        hidden = [b for b in range(256) if b not in set(printed)]
+        self.letters[hidden] = 256 + np.arange(len(hidden))
+        self.letters[32] = 32  # parts the words of a run
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def _slow(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _latin(self, word: str) -> str | None:
-        """The word as its merges read it, if it is nothing but Latin letters."""
-        if not word.isalpha() or max(word) >= "ƀ":
-            return None
-        word = unicodedata.normalize("NFC", word).lower()
-        if not word.isalpha():
-            return None
-        return word.encode().decode("latin-1").translate(self.letters)
+    def _forms(self, words: list[str]) -> list[str]:
+        """Words of Latin letters as the merges read them."""
+        text = unicodedata.normalize("NFC", " ".join(words)).lower()
+        if not text.isascii():
+            text = self.letters[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        return text.split(" ")
 
-    def _merge(self, words: list[str], forms: list[str]) -> None:
+    def _merge(self, words: list[str]) -> None:
         """Ids of words that are one unit each, from one run of the merges over many."""
         for at in range(0, len(words), 4000):
             group = words[at : at + 4000]
-            text = " ".join(forms[at : at + 4000])
-            ids = np.array(self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            forms = self._forms(group)
+            ids = np.array(self.merges.encode_batch_fast([" ".join(forms)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) != len(group):
+            if len(cuts) != len(group) or len(forms) != len(group):
                 self.known.update((w, self._slow(w)) for w in group)
                 continue
-            raw, starts = ids.tobytes(), [0, *cuts.tolist()]
-            self.known.update(zip(group, [raw[i:j] for i, j in pairwise(starts)], strict=True))
+            raw, cuts = ids.tobytes(), cuts.tolist()
+            self.known.update(zip(group, [raw[i:j] for i, j in zip([0, *cuts], cuts, strict=False)], strict=True))
 
     def learn(self, words: set[str]) -> None:
+        """Take words in that are not known."""
         if len(self.known) > _CACHED_WORDS:
-            self.known = {}
-        known = self.known
-        new = list(words.difference(known))
-        stems = [w.rstrip(_MARKS) for w in new]
-        todo = list(set(stems).difference(known))
-        plain = [s for s in todo if s.isascii() and s.isalpha()]
-        if plain:
-            self._merge(plain, " ".join(plain).lower().split(" "))
-        others = [(s, f) for s in todo if not s.isascii() and (f := self._latin(s)) is not None]
-        if others:
-            self._merge([s for s, _ in others], [f for _, f in others])
-        marks, slow = self.marks, self._slow
-        for w, s in zip(new, stems, strict=True):
-            if w not in known:
-                # marks after plain letters are one unit of the splitting rule
-                if s.isalpha() and s in known and (s.isascii() or self._latin(s) is not None):
-                    tail = w[len(s) :]
-                    if tail not in marks:
-                        marks[tail] = slow(tail)
-                    known[w] = known[s] + marks[tail]
-                else:
-                    known[w] = slow(w)
-        if len(marks) > 10_000:
+            # words that come again move over from the older half, the others are forgotten
+            self.older, self.known = self.known, {}
+        if len(self.marks) > 10_000:
             self.marks = {}
+        known, older, marks, slow = self.known, self.older, self.marks, self._slow
+        if older:
+            again = {w: older[w] for w in words if w in older}
+            known.update(again)
+            words = words.difference(again)
+        ascii_, latin, marked = [], [], []
+        for w in words:
+            s = w.rstrip(_MARKS)
+            if not _LATIN(s):
+                known[w] = slow(w)
+                continue
+            if len(s) != len(w):
+                marked.append((w, s))
+                if s in known or s in words:
+                    continue
+            (ascii_ if s.isascii() else latin).append(s)
+        # a stem may come with several marks
+        self._merge(list(dict.fromkeys(ascii_)))
+        self._merge(list(dict.fromkeys(latin)))
+        for w, s in marked:
+            # marks after plain letters are one unit of the splitting rule
+            tail = w[len(s) :]
+            if tail not in marks:
+                marks[tail] = slow(tail)
+            known[w] = known[s] + marks[tail]
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         # U+001C to U+001F part words in Python but not for the tokenizer
         split = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        self.learn(set().union(*[w for w in split if w is not None]))
+        flat = list(chain.from_iterable(w for w in split if w is not None))
+        ids = list(map(self.known.get, flat))
+        open_ = [n for n, i in enumerate(ids) if i is None]
+        self.learn({flat[n] for n in open_})
+        known, at = self.known, 0
+        for n in open_:
+            ids[n] = known[flat[n]]
         for text, words in zip(texts, split, strict=True):
-            yield self._slow(text) if words is None else b"".join(map(self.known.__getitem__, words))
+            if words is None:
+                yield self._slow(text)
+            else:
+                yield b"".join(ids[at : at + len(words)])
+                at += len(words)
 
 
 @lru_cache(maxsize=2)
@@ -149,7 +172,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(tokenizer)
-        for group in by_size(rows_of(batches, "doc_id", "__text"), lambda r: len(r[1]), 1_000_000, 2000):
+        for group in by_size(rows_of(batches, "doc_id", "__text"), lambda r: len(r[1]), 100_000, 2000):
             out: list[list] = [[], [], [], [], []]
             for (doc, _), ids in zip(group, tokens.many([r[1] for r in group]), strict=True):
                 raw = ids + end
@@ -254,29 +277,43 @@ def evolve(
     return max(alive, key=lambda p: p.fitness)
 
 
-def _island(sequence: int, seed: int, turn: int, last: bool, elite: float):
+def emigrants(best: Packing, elite: float, share: float) -> set[int]:
+    """The fullest of the bins that are full enough to be final: so many go on to another island as they are."""
+    full = [n for n, fill in enumerate(best.fill) if fill >= elite * best.capacity]
+    return set(sorted(full, key=lambda n: (-best.fill[n], n))[: int(len(full) * share)])
+
+
+def _island(sequence: int, seed: int, turn: int, last: bool, elite: float, share: float):
     def run(key, group):
         group = group.sort_values("__row", ignore_index=True)
         sizes = group["__size"].to_numpy()
         arrived = [list(g) for b, g in group.groupby("__bin").groups.items() if b >= 0]
         best = evolve(sizes, sequence, seed + int(key[0]), arrived)
+        leaving = set() if last else emigrants(best, elite, share)
         bin_of, offset, final = np.empty(len(group), np.int64), np.empty(len(group), np.int64), np.empty(len(group), bool)
         for n, (items, fill) in enumerate(zip(best.bins, best.fill, strict=True)):
             bin_of[items] = (turn << 58) | (int(key[0]) << 22) | n
             offset[items] = np.cumsum(sizes[items]) - sizes[items]
-            final[items] = last or fill >= elite * sequence
+            final[items] = last or (fill >= elite * sequence and n not in leaving)
         return pd.DataFrame({"__row": group["__row"], "__size": sizes, "__bin": bin_of, "__offset": offset, "__final": final})
 
     return run
 
 
 def pack(
-    pieces: DataFrame, sequence: int = SEQUENCE, island: int = 1500, rounds: int = 4, elite: float = 0.999, seed: int = 7
+    pieces: DataFrame,
+    sequence: int = SEQUENCE,
+    island: int = 1500,
+    rounds: int = 4,
+    elite: float = 0.999,
+    share: float = 0.1,
+    seed: int = 7,
 ) -> DataFrame:
     """``pieces`` with sequence_id and offset; every piece is placed once, no sequence is overfull.
 
     ``pieces`` needs ``length`` between 1 and ``sequence``.  Equal rows are
-    separate pieces.  An empty table gives an empty table.
+    separate pieces.  An empty table gives an empty table.  ``share`` of the bins
+    filled to ``elite`` or more migrate between rounds, the others are final.
     """
     kept = pieces.columns
     stored = cut_lineage(pieces.withColumn("__row", F.monotonically_increasing_id()))
@@ -296,7 +333,7 @@ def pack(
         dealt = todo.withColumn("__island", F.pmod(home, F.lit(islands)))
 
         done = cut_lineage(
-            dealt.groupBy("__island").applyInPandas(_island(sequence, seed, turn, last, elite), "__row bigint, __size bigint, __bin bigint, __offset bigint, __final boolean")
+            dealt.groupBy("__island").applyInPandas(_island(sequence, seed, turn, last, elite, share), "__row bigint, __size bigint, __bin bigint, __offset bigint, __final boolean")
         )
         final = done.where("__final").select("__row", F.col("__bin").alias("sequence_id"), F.col("__offset").alias("offset"))
         placed = final if placed is None else placed.unionByName(final)
@@ -308,5 +345,10 @@ def pack(
 
 
 def packed_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Every document's pieces with the sequence and place that each got."""
+    """Every document's pieces with the sequence and place that each got.
+
+    A null text is an empty document, one piece of the end id; rows that repeat
+    an id or a text are documents of their own; ties in size keep the order of
+    rows.  Columns other than ``doc_id`` and ``text`` are not read.
+    """
     return pack(token_pieces(docs, tokenizer or default_tokenizer()))
