@@ -25,17 +25,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelight.llm.common import rows_of, text_of
+from parcelight.llm.common import by_size, rows_of, text_of
+from parcelight.operators.prefix import prior_totals
 from parcelight.session import cut_lineage
 
 # Fixed values of the text rule: these bytes part pieces; A-Z are lower-cased.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 NO_LANG = "und"
 
-LONGEST = 3
 MAP_BITS = 26
 _HELD_WORDS = 3_000_000  # words that a worker counts at once
-_ID_BITS = 21
 _BREAK = b"\xff"  # in no UTF-8 text
 _BYTES = bytes.maketrans(
     bytes(range(65, 91)) + BREAKS + b"\t", bytes(range(97, 123)) + _BREAK * len(BREAKS) + b" "
@@ -100,15 +99,12 @@ class PhraseCounter:
         self.runs: list[np.ndarray] = []
         self.held = 0
 
-    def add(self, text: str) -> None:
-        words = text.encode("utf-8", "surrogatepass").translate(_BYTES).replace(_BREAK, b" " + _BREAK + b" ").split(b" ")
-        ids = np.fromiter(map(self.numbers.__getitem__, filter(None, words)), np.int64)
-        self.runs += [ids, np.zeros(1, np.int64)]
-        self.held += len(ids)
-
-    @property
-    def full(self) -> bool:
-        return self.held >= _HELD_WORDS
+    def add(self, texts: list[str]) -> None:
+        # the line feed between two texts parts them as it parts pieces
+        raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_BYTES)
+        words = raw.replace(_BREAK, b" " + _BREAK + b" ").split()
+        self.runs += [np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+        self.held += len(words) + 1
 
     def counts(self) -> Iterator[pa.RecordBatch]:
         """Phrases with their counts since the last call; forgets them."""
@@ -119,40 +115,30 @@ class PhraseCounter:
         self._clear()
         texts = pa.array(words[1:], pa.binary())
         gate, plain = self.gate, self.gate is None
-        hashes = np.concatenate([np.zeros(1, np.uint64), _word_hashes(self.lang, words[1:])])
         size = len(words)
-        single = np.bincount(ids, minlength=size)
         if plain or gate.first:
+            single = np.bincount(ids, minlength=size)
             yield self._batch(0, pa.array([b""], pa.binary()), np.array([single[1:].sum()]))
             yield self._batch(1, texts, single[1:])
-        real = ids > 0
-        new_word, old_word = (np.ones(size, bool), np.zeros(size, bool)) if plain else (gate.new[0].holds(hashes), gate.old[0].holds(hashes))
-        spot = np.flatnonzero(real[:-1] & real[1:] & new_word[ids[:-1]] & new_word[ids[1:]])
-        if size < 1 << _ID_BITS:
-            keys, inverse, counts = np.unique((ids[spot] << _ID_BITS) | ids[spot + 1], return_inverse=True, return_counts=True)
-            left, right = keys >> _ID_BITS, keys & ((1 << _ID_BITS) - 1)
-        else:
-            pairs, inverse, counts = np.unique(np.stack([ids[spot], ids[spot + 1]], 1), axis=0, return_inverse=True, return_counts=True)
-            left, right, inverse = pairs[:, 0], pairs[:, 1], inverse.ravel()
-        pair_hash = _joined(hashes[left], hashes[right])
-        seen = old_word[left] & old_word[right]
-        yield self._batch(2, _texts(texts, left[~seen], right[~seen]), counts[~seen])
-        if plain:
-            new_pair, old_pair = np.ones(len(left), bool), np.zeros(len(left), bool)
-        else:
-            new_pair, old_pair = gate.new[1].holds(pair_hash), gate.old[1].holds(pair_hash)
-            old_pair &= seen
-        # a three-word phrase is two pairs at neighbouring places
-        number = np.full(len(ids), -1, np.int64)
-        number[spot] = inverse
-        start = spot[new_pair[inverse]]
-        start = start[number[start + 1] >= 0]
-        start = start[new_pair[number[start + 1]]]
-        one, two = number[start], number[start + 1]
-        triple, counts = _unique_pairs(one, two, len(left))
-        seen = old_pair[triple[0]] & old_pair[triple[1]]
-        a, b = triple[0][~seen], triple[1][~seen]
-        yield self._batch(3, _texts(texts, left[a], right[a], right[b]), counts[~seen])
+        # a place where a phrase of two, or of three words starts is open if this pass counts that phrase
+        pair = (ids[:-1] > 0) & (ids[1:] > 0)
+        triple = pair[:-1] & pair[1:]
+        if not plain:
+            hashes = np.concatenate([np.zeros(1, np.uint64), _word_hashes(self.lang, words[1:])])
+            new, old = gate.new[0].holds(hashes)[ids], gate.old[0].holds(hashes)[ids]
+            pair &= new[:-1] & new[1:]
+            spot = np.flatnonzero(pair)
+            both = _joined(hashes[ids[spot]], hashes[ids[spot + 1]])
+            was = old[spot] & old[spot + 1]
+            inner_new, inner_old = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            # pairs that no pass has counted yet may be frequent, so longer phrases go with them
+            inner_new[spot] = gate.new[1].holds(both) if gate.first else gate.new[1].holds(both) | ~was
+            inner_old[spot[was]] = gate.old[1].holds(both[was])
+            pair[spot[was]] = False
+            triple = inner_new[:-2] & inner_new[1:-1] & ~(inner_old[:-2] & inner_old[1:-1])
+        for phrase_words, open_ in ((2, pair), (3, triple)):
+            parts, counts = _distinct(ids, np.flatnonzero(open_), phrase_words, size)
+            yield self._batch(phrase_words, _texts(texts, *parts), counts)
 
     def _batch(self, size: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
         n = len(phrases)
@@ -162,12 +148,17 @@ class PhraseCounter:
         )
 
 
-def _unique_pairs(a: np.ndarray, b: np.ndarray, below: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-    if below < 1 << 31:
-        keys, counts = np.unique((a << 31) | b, return_counts=True)
-        return (keys >> 31, keys & ((1 << 31) - 1)), counts
-    pairs, counts = np.unique(np.stack([a, b], 1), axis=0, return_counts=True)
-    return (pairs[:, 0], pairs[:, 1]), counts
+def _distinct(ids: np.ndarray, spot: np.ndarray, n: int, below: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct runs of ``n`` numbers that start at the given places, by column, and how often each occurs."""
+    bits = max(1, int(below - 1).bit_length())
+    if n * bits > 63:
+        rows, counts = np.unique(np.stack([ids[spot + k] for k in range(n)], 1), axis=0, return_counts=True)
+        return list(rows.T), counts
+    keys = np.zeros(len(spot), np.int64)
+    for k in range(n):
+        keys = (keys << bits) | ids[spot + k]
+    keys, counts = np.unique(keys, return_counts=True)
+    return [(keys >> (bits * (n - 1 - k))) & ((1 << bits) - 1) for k in range(n)], counts
 
 
 def _texts(words: pa.Array, *numbers: np.ndarray) -> pa.Array:
@@ -199,13 +190,15 @@ def counted(texts: DataFrame, gate=None) -> DataFrame:
         held: dict[str, PhraseCounter] = {}
         total = 0
         chosen = gate.value if gate is not None else None
-        for lang, text in rows_of(batches, "lang", "__text"):
-            counter = held.get(lang)
-            if counter is None:
-                counter = held[lang] = PhraseCounter(lang, chosen)
-            before = counter.held
-            counter.add(text)
-            total += counter.held - before
+        for group in by_size(rows_of(batches, "lang", "__text"), lambda r: len(r[1]), 500_000):
+            by_lang: dict[str, list[str]] = {}
+            for lang, text in group:
+                by_lang.setdefault(lang, []).append(text)
+            for lang, few in by_lang.items():
+                counter = held.setdefault(lang, PhraseCounter(lang, chosen))
+                before = counter.held
+                counter.add(few)
+                total += counter.held - before
             if total >= _HELD_WORDS or len(held) > 500:
                 for c in held.values():
                     for batch in c.counts():
@@ -215,7 +208,8 @@ def counted(texts: DataFrame, gate=None) -> DataFrame:
             for batch in c.counts():
                 yield from _in_batches(batch)
 
-    parts = texts.mapInArrow(run, _COUNTS_DDL)
+    # a worker has summed its phrases, so summing them again before the shuffle would find little
+    parts = texts.mapInArrow(run, _COUNTS_DDL).repartition("lang", "size", "phrase")
     return parts.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
 
 
@@ -286,65 +280,50 @@ def frequent_phrases(
     old = (BitMap(empty, map_bits), BitMap(empty, map_bits))
     new = _with_bits(old, proposed)
     known = proposed.where("size < 3").select("lang", "phrase")
-    found = None
-    for turn in range(LONGEST):
+    found, turn = None, 0
+    while True:
         gate = spark.sparkContext.broadcast(Gate(new, old, turn == 0))
         fresh = cut_lineage(counted(texts, gate).where((F.col("a") >= least) | (F.col("size") == 0)))
         gate.unpersist()
         found = fresh if found is None else found.unionByName(fresh)
-        failures = cut_lineage(fresh.where("size in (1, 2)").join(known, ["lang", "phrase"], "left_anti"))
+        # an expansion counts the longer phrases of the pairs that it finds, so only pairs of the first pass can lack them
+        short = "size in (1, 2)" if turn == 0 else "size = 1"
+        failures = cut_lineage(fresh.where(short).join(known, ["lang", "phrase"], "left_anti"))
         failed = failures.count()
         if report is not None:
             report.append(failed)
         if not failed:
             return found
         known = known.unionByName(failures.select("lang", "phrase"))
-        old, new = new, _with_bits(new, failures)
-    # words are exact after the first pass, pairs after the second, so the third can not fail
-    raise RuntimeError("the negative border did not close")
+        old, new, turn = new, _with_bits(new, failures), turn + 1
 
 
 def _cut(first: int, size: int) -> tuple[Column, Column]:
-    words = F.split("phrase", " ")
-    return F.array_join(F.slice(words, 1, first), " "), F.array_join(F.slice(words, first + 1, size - first), " ")
+    """The first so many words of a phrase and the rest."""
+    return F.substring_index("phrase", " ", first), F.substring_index("phrase", " ", first - size)
 
 
-def scored(frequent: DataFrame) -> DataFrame:
-    """(lang, size, phrase, a, l, r, score) of the phrases of two and three words, with the cut that scores lowest.
+def scored(candidates: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(lang, phrase, a, l, r, score) of candidates of two and three words, with the cut that scores lowest.
 
-    Every part is counted, since a part is at least as frequent.  Ties go to the
-    cut after fewer words.
+    ``frequent`` has every part, since a part is at least as frequent.  Ties go to
+    the cut after fewer words.
     """
-    candidates = frequent.where("size > 1")
-    sides = [(2, 1, "l"), (2, 1, "r"), (3, 1, "l"), (3, 1, "r"), (3, 2, "l"), (3, 2, "r")]
-    wanted = F.filter(
-        F.array(
-            *[
-                F.when(F.col("size") == size, F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"), _cut(k, size)[side == "r"].alias("part")))
-                for size, k, side in sides
-            ]
-        ),
-        lambda s: s.isNotNull(),
-    )
-    parts = candidates.select("lang", "size", "phrase", "a", F.explode(wanted).alias("__p")).select("lang", "size", "phrase", "a", "__p.*")
+    pieces = F.when(F.col("size") == 2, F.array(*_cut(1, 2))).otherwise(F.array(*_cut(1, 3), *_cut(2, 3)))
+    parts = candidates.select("lang", "size", "phrase", "a", F.posexplode(pieces).alias("__at", "part"))
     counts = frequent.where("size in (1, 2)").select(F.col("lang").alias("__lang"), F.col("phrase").alias("__part"), F.col("a").alias("__f"))
     told = parts.join(counts, (F.col("lang") == F.col("__lang")) & (F.col("part") == F.col("__part")))
-    cuts = told.groupBy("lang", "size", "phrase", "a").agg(
-        *[
-            F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("__f"))).alias(f"{side}{k}")
-            for k in (1, 2)
-            for side in ("l", "r")
-        ]
+    cuts = told.groupBy("lang", "phrase").agg(
+        F.max("a").alias("a"), *[F.max(F.when(F.col("__at") == i, F.col("__f"))).alias(name) for i, name in enumerate(("l1", "r1", "l2", "r2"))]
     )
     score = lambda k: F.expr(
-        f"cast(cast(cast(a as decimal(15,0)) * cast(a as decimal(15,0)) as decimal(31,0)) * cast(1000000 as decimal(7,0)) as decimal(38,0))"
+        "cast(cast(cast(a as decimal(15,0)) * cast(a as decimal(15,0)) as decimal(31,0)) * cast(1000000 as decimal(7,0)) as decimal(38,0))"
         f" div (cast(l{k} as decimal(18,0)) * cast(r{k} as decimal(18,0)))"
     )
     both = cuts.withColumn("__s1", score(1)).withColumn("__s2", score(2))
     second = F.coalesce(F.col("__s2") < F.col("__s1"), F.lit(False))
     return both.select(
         "lang",
-        "size",
         "phrase",
         "a",
         F.when(second, F.col("l2")).otherwise(F.col("l1")).alias("l"),
@@ -355,10 +334,9 @@ def scored(frequent: DataFrame) -> DataFrame:
 
 def without_parts(candidates: DataFrame, share: int = 50) -> DataFrame:
     """Candidates without those of which ``share`` percent or more lie inside one longer candidate."""
-    words = F.split("phrase", " ")
     inside = (
         candidates.where("size = 3")
-        .select("lang", "a", F.explode(F.array_distinct(F.array(F.array_join(F.slice(words, 1, 2), " "), F.array_join(F.slice(words, 2, 2), " ")))).alias("__inner"))
+        .select("lang", "a", F.explode(F.array(F.substring_index("phrase", " ", 2), F.substring_index("phrase", " ", -2))).alias("__inner"))
         .groupBy(F.col("lang").alias("__lang"), "__inner")
         .agg(F.max("a").alias("__longer"))
     )
@@ -374,16 +352,18 @@ def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2
     ``frequent_phrases``; ``docs`` may have any other columns.
     """
     frequent = frequent_phrases(docs, least, report=report, **sampling)
-    left = without_parts(scored(frequent), share)
-    order = (F.desc("score"), F.desc("a"), F.asc("phrase"))
-    # the best of each of a fixed number of slices first, so that a language's rows never meet in one task
-    slices = Window.partitionBy("lang", "__slice").orderBy(*order)
+    left = scored(without_parts(frequent.where("size > 1"), share), frequent)
+    # the best of each of a fixed number of slices, then positions over range-partitioned blocks:
+    # the rows of a language never meet in one task
+    slices = Window.partitionBy("lang", "__slice").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     sliced = left.withColumn("__slice", F.pmod(F.xxhash64("phrase"), F.lit(32)))
     few = sliced.withColumn("__place", F.row_number().over(slices)).where(F.col("__place") <= top)
-    best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    few = cut_lineage(few.select("*", (-F.col("score")).alias("__score"), (-F.col("a")).alias("__a")))
+    placed = prior_totals(few, ["__score", "__a", "phrase"], {"__before": F.lit(1).cast("bigint")}, partition_by=["lang"])
+    best = placed.where(F.col("__before") < top)
     sizes = frequent.where("size = 0").select(F.col("lang").alias("__lang"), F.col("a").alias("n"))
     return best.join(sizes, F.col("lang") == F.col("__lang")).select(
-        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+        "lang", (F.col("__before") + 1).cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
 
 
