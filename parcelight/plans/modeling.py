@@ -116,10 +116,10 @@ def preprocessing(numeric: Sequence[str], categorical: Sequence[str]) -> list:
 
     A category not seen in training becomes all zeros.
     """
-    stages: list = [ExactScaler(numeric, [f"{c}__s" for c in numeric])]
+    stages: list = [ModeFiller(categorical, [f"{c}__f" for c in categorical])] if categorical else []
+    stages.append(ExactScaler(numeric, [f"{c}__s" for c in numeric]))
     if categorical:
         stages += [
-            ModeFiller(categorical, [f"{c}__f" for c in categorical]),
             StringIndexer(
                 inputCols=[f"{c}__f" for c in categorical],
                 outputCols=[f"{c}__x" for c in categorical],
