@@ -1,17 +1,22 @@
-"""N-gram Jaccard join: MinHash banding finds candidates, exact comparison decides.
+"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact comparison decides.
 
 Texts with the same words in the same order are copies and form one node.  Each
-node has a signature of several trees; a tree's path is a run of MinHash values
-of the node's five-word shingles, and nodes with one path in a tree are
-candidates.  All paths have the same length, the longest at which a pair at the
-similarity asked for shares one in some tree with the target recall; it follows
-from the settings alone, so this is banding and not an LSH forest.
-
-Candidates under a prefix are tied to its smallest node, not to each other, so
-a prefix that holds any number of nodes makes as many ties.  Within a component
-of ties every pair that sizes allow is compared by its shingle sets: small
-components whole, large ones as blocks against blocks, each pair of blocks in a
-task of its own.  Counts and a spanning set of links leave a task, never pairs.
+tree of the forest gives a node a path of MinHash values of its five-word
+shingles.  Paths are sorted, so that a tree lies in the table as a prefix trie:
+neighbours in the order share the longest prefixes there are, and the nodes
+under a prefix of any length follow each other.  One pass over the order finds
+how long a prefix each node matches in each tree.
+
+Matched prefixes then get shorter, from whole paths on, until the data show the
+target recall: among nodes that few trees tie, the numbers tied by one and by
+two trees tell how many no tree ties.  At the length at which the settings alone
+assure the recall for the weakest pair asked for, shortening ends.
+
+Neighbours with such a prefix are tied, so a prefix that holds any number of
+nodes makes as many ties.  Within a component of ties every pair that sizes
+allow is compared by its shingle sets: small components whole, large ones as
+blocks against blocks, each pair of blocks in a task of its own.  Counts and a
+spanning set of links leave a task, never pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from parcelight.llm.common import by_size, rows_of, set_apart, text_of
@@ -31,6 +37,7 @@ from parcelight.operators.prefix import prior_totals
 from parcelight.session import cut_lineage
 
 SHINGLE = 5
+VALUE_BYTES = 2  # of a MinHash value in a path; values that differ agree in these once in 65,536
 _CACHED_WORDS = 400_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -41,7 +48,7 @@ def recall(similarity: float, depth: int, trees: int) -> float:
 
 
 def prefix_depth(similarity: float, trees: int, deepest: int, target: float) -> int:
-    """The longest prefix that reaches the target recall, found by shortening the deepest."""
+    """The longest prefix that assures the target recall whatever the data hold; matched prefixes get no shorter."""
     depth = deepest
     while depth > 1 and recall(similarity, depth, trees) < target:
         depth -= 1
@@ -90,14 +97,15 @@ def forest_paths(shingles: np.ndarray, counts: np.ndarray, trees: int, depth: in
     factors = rng.integers(0, 1 << 31, n, dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     starts = np.cumsum(counts) - counts
-    out = np.empty((len(counts), n), np.uint32)
+    out = np.empty((len(counts), n), np.uint16)
     for j in range(n):
+        # the least values are small, so their low bits tell them apart
         out[:, j] = np.minimum.reduceat((short ^ flips[j]) * factors[j], starts)
     return out.reshape(len(counts), trees, depth)
 
 
 def signatures(docs: DataFrame, trees: int, depth: int, seed: int) -> DataFrame:
-    """__row, doc_id, node (digest of the words, null without words), size (distinct shingles), paths (a key for each tree)."""
+    """__row, doc_id, node (digest of the words, null without words), size (distinct shingles), forest (the paths, one after the other)."""
     slim = docs.select("__row", "doc_id", text_of().alias("__text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
 
@@ -113,21 +121,103 @@ def signatures(docs: DataFrame, trees: int, depth: int, seed: int) -> DataFrame:
                 if len(some):
                     paths = forest_paths(np.concatenate(sets), counts[some], trees, depth, seed)
                     for n, i in enumerate(some):
-                        keys[i] = [
-                            xxhash.xxh3_64_intdigest(paths[n, t].tobytes(), seed=t) - (1 << 63) for t in range(trees)
-                        ]
+                        keys[i] = paths[n].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in group], pa.int64()),
                         pa.array([r[1] for r in group], batch.schema.field("doc_id").type),
                         pa.array([d if c else None for d, c in zip(digests, counts, strict=True)], pa.binary()),
                         pa.array(counts, pa.int64()),
-                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array(keys, pa.binary()),
                     ],
-                    ["__row", "doc_id", "node", "size", "paths"],
+                    ["__row", "doc_id", "node", "size", "forest"],
                 )
 
-    return slim.mapInArrow(run, f"__row bigint, doc_id {id_type}, node binary, size bigint, paths array<bigint>")
+    return slim.mapInArrow(run, f"__row bigint, doc_id {id_type}, node binary, size bigint, forest binary")
+
+
+def trie_neighbours(nodes: DataFrame, trees: int, deepest: int, shortest: int) -> DataFrame:
+    """tree, node, prior, common: each node with the one before it in a tree's order, and how many values they share.
+
+    Pairs that share fewer than ``shortest`` values are left out.  The order is cut into ranges by tree, path and
+    node, so equal paths spread over tasks; the pair at a border comes from the two rows beside it, two for each range.
+    """
+    width = VALUE_BYTES * deepest
+    keyed = nodes.select("node", "forest", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
+        "tree", F.expr(f"substring(forest, tree * {width} + 1, {width})").alias("path"), "node"
+    )
+    ordered = keyed.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId()
+
+        def told(rows: list[tuple]) -> pa.RecordBatch:
+            types = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+            columns = zip(*rows, strict=True)
+            names = ["tree", "node", "prior", "common", "place", "path"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+        last: tuple | None = None
+        for batch in batches:
+            held = [batch.column(i).to_pylist() for i in range(3)]
+            if not held[0]:
+                continue
+            if last is None:
+                yield told([(held[0][0], held[2][0], None, None, 2 * block, held[1][0])])
+            else:
+                held = [[x, *column] for x, column in zip(last, held, strict=True)]
+            tree = np.array(held[0])
+            values = np.frombuffer(b"".join(held[1]), np.uint16).reshape(-1, deepest)
+            common = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
+            ties = [(held[0][i + 1], held[2][i + 1], held[2][i], int(common[i]), None, None) for i in np.flatnonzero(common >= shortest)]
+            if ties:
+                yield told(ties)
+            last = tuple(column[-1] for column in held)
+        if last is not None:
+            yield told([(last[0], last[2], None, None, 2 * block + 1, last[1])])
+
+    passed = cut_lineage(ordered.mapInArrow(run, "tree int, node binary, prior binary, common int, place int, path binary"))
+    # the first and the last row of each range, so its order needs no more rows than that
+    over = Window.orderBy("place")
+    ends = passed.where(F.col("place").isNotNull()).select(
+        "tree", "node", "place", "path", F.lag("tree").over(over).alias("__tree"), F.lag("node").over(over).alias("prior"), F.lag("path").over(over).alias("__path")
+    )
+    shared = sum((F.substring("path", 1, n) == F.substring("__path", 1, n)).cast("int") for n in range(VALUE_BYTES, width + 1, VALUE_BYTES))
+    borders = ends.where((F.col("place") % 2 == 0) & (F.col("tree") == F.col("__tree"))).select("tree", "node", "prior", shared.alias("common"))
+    return passed.where(F.col("place").isNull()).select("tree", "node", "prior", "common").unionByName(borders.where(F.col("common") >= shortest))
+
+
+def tied_by(neighbours: DataFrame, trees: int, depths: range) -> Row:
+    """One row: for each length d of a prefix, the nodes that one tree ties (``one_d``), two (``two_d``), a third of all or fewer (``few_d``)."""
+    ends = neighbours.select("tree", "node", "common").unionByName(neighbours.select("tree", F.col("prior").alias("node"), "common"))
+    longest = ends.groupBy("node", "tree").agg(F.max("common").alias("longest"))
+    held = longest.groupBy("node").agg(*[F.sum((F.col("longest") >= d).cast("int")).alias(f"k_{d}") for d in depths])
+    counts = []
+    for d in depths:
+        k = F.col(f"k_{d}")
+        for name, hit in (("one", k == 1), ("two", k == 2), ("few", (k > 0) & (k <= trees // 3))):
+            counts.append(F.coalesce(F.sum(hit.cast("int")), F.lit(0)).alias(f"{name}_{d}"))
+    return held.agg(*counts).first()
+
+
+def shown_recall(one: int, two: int, few: int) -> float:
+    """Recall among weakly tied nodes, with those that no tree ties judged by the numbers that one and two trees tie.
+
+    Strongly tied nodes are left out, so that many copies do not hide a few links that were missed.
+    """
+    unseen = one * one / (2 * (two + 1))
+    return 1.0 if not unseen else few / (few + unseen)
+
+
+def matched_depth(neighbours: DataFrame, trees: int, deepest: int, shortest: int, target: float) -> int:
+    """Length of the prefixes that tie nodes: the longest at which the data show the target recall, at least ``shortest``."""
+    if deepest <= shortest:
+        return shortest
+    seen = tied_by(neighbours, trees, range(shortest, deepest + 1))
+    depth = deepest
+    while depth > shortest and shown_recall(seen[f"one_{depth}"], seen[f"two_{depth}"], seen[f"few_{depth}"]) < target:
+        depth -= 1
+    return depth
 
 
 def _shingle_sets(rows: DataFrame) -> DataFrame:
@@ -239,25 +329,19 @@ def near_duplicates(
     their own; a null id sorts last.  ``docs`` must read the same rows each time,
     which is checked.
     """
-    depth = prefix_depth(similarity, trees, deepest, target_recall)
     numbered = docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id())
-    signed = cut_lineage(signatures(numbered, trees, depth, seed))
+    signed = cut_lineage(signatures(numbered, trees, deepest, seed))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
     nodes = cut_lineage(
         signed.where(F.col("node").isNotNull())
         .groupBy("node")
-        .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("weight"), F.first("size").alias("size"), F.first("paths").alias("paths"))
+        .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("weight"), F.first("size").alias("size"), F.first("forest").alias("forest"))
     )
 
-    # ties: every node under a prefix to the smallest there
-    under = nodes.select("node", F.explode("paths").alias("path"))
-    smallest = (
-        under.groupBy("path")
-        .agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select(F.col("path").alias("__path"), "least")
-    )
-    ties = under.join(smallest, F.col("path") == F.col("__path")).select(F.col("node").alias("u"), F.col("least").alias("v"))
+    shortest = prefix_depth(similarity, trees, deepest, target_recall)
+    neighbours = cut_lineage(trie_neighbours(nodes, trees, deepest, shortest))
+    depth = matched_depth(neighbours, trees, deepest, shortest, target_recall)
+    ties = neighbours.where(F.col("common") >= depth).select(F.col("node").alias("u"), F.col("prior").alias("v"))
     candidates = cut_lineage(
         connected(ties)
         .join(nodes.select(F.col("node").alias("__n"), "first", "weight", "size"), F.col("node") == F.col("__n"))
