@@ -1,11 +1,13 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and runs of words, in column expressions only.
 
-Paragraphs are lines; a section ends after a paragraph whose digest says so, so
-that an insertion moves no other border.  The root is the digest of the section
-digests, each of the digests of its paragraphs, hence equal texts and only they
-share a root.  Leaves are runs of a few words within a paragraph; the share of
-common leaves tells how alike two trees are, and the sections and paragraphs in
-which they differ say where an edit is.
+Paragraphs are lines; a section ends after a paragraph whose digest says so, and
+a leaf, a run of words within a paragraph, after a word whose hash says so, so
+that an insertion moves no border but those beside it.  The root is the digest of
+the section digests, each of the digests of its paragraphs, hence equal texts and
+only they share a root.  Two trees are compared by descent: of sections and then
+of paragraphs only those that differ are opened, and the leaves that neither side
+finds in the other's open branches tell how unlike the texts are.  The sections
+and paragraphs in which they differ say where an edit is.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 
 from parcelight.llm.common import text_of
 
-LEAF_WORDS = 4
-_LEAF = rf"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{LEAF_WORDS}}}+"
+LEAF_WORDS = 4  # of so many words one ends a leaf
+_TOKEN = r"\n|[^\x20\x09-\x0D]+"
+_DIGEST = 64  # characters
 
 
 def paragraphs(text: Column) -> Column:
@@ -35,15 +38,60 @@ def root(section_digests: Column) -> Column:
 
 
 def leaves(text: Column) -> Column:
-    """Distinct hashes of the runs of words in each paragraph."""
-    runs = F.flatten(F.transform(F.split(text, "\n", -1), lambda p: F.regexp_extract_all(p, F.lit(_LEAF), F.lit(0))))
-    return F.array_distinct(F.transform(runs, lambda r: F.xxhash64(F.rtrim(r))))
+    """Distinct hashes of the runs of words in each paragraph; a line in which no word ends a leaf is one leaf."""
 
+    def marked(token: Column) -> Column:
+        ends = F.pmod(F.xxhash64(token), F.lit(LEAF_WORDS)) == 0
+        return F.when(token == "\n", token).otherwise(F.concat(token, F.when(ends, F.lit("\n")).otherwise(F.lit(" "))))
 
-def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Share of common leaves (0 to 1); 1 for equal roots and two texts without words."""
-    total = F.size(a) + F.size(b)
-    return F.when(same | (total == 0), 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / total)
+    runs = F.split(F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), marked), ""), " ?\n", -1)
+    filled = F.filter(F.transform(runs, lambda r: F.rtrim(r)), lambda r: r != "")
+    return F.array_distinct(F.transform(filled, lambda r: F.xxhash64(r)))
+
+
+def branches(text: Column) -> Column:
+    """The sections of a text, each its paragraphs line by line behind their digests.
+
+    No paragraph holds a line break and a digest never starts with ``;``, so the borders are plain.
+    """
+
+    def marked(paragraph: Column) -> Column:
+        digest = F.sha2(paragraph, 256)
+        return F.concat(digest, paragraph, F.when(F.endswith(digest, F.lit("0")), F.lit("\n;")).otherwise(F.lit("\n")))
+
+    held = F.split(F.array_join(F.transform(F.split(text, "\n", -1), marked), ""), "\n;", -1)
+    return F.filter(F.transform(held, lambda s: F.regexp_replace(s, "\n$", "")), lambda s: s != "")
+
+
+def open_paragraphs(left: Column, right: Column) -> Column:
+    """Paragraphs, with digests, in those sections of ``left`` that ``right`` does not have."""
+    return F.flatten(F.transform(F.array_except(left, right), lambda s: F.split(s, "\n", -1)))
+
+
+def _texts(marked: Column) -> Column:
+    return F.array_join(F.transform(marked, lambda p: F.substr(p, F.lit(_DIGEST + 1))), "\n")
+
+
+def with_likeness(trees: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """``trees`` with a likeness for each pair of prefixes of the columns ``_branches`` and ``_leaves`` (their number).
+
+    1 less the share of leaves, of those of both texts, that lie in differing paragraphs of differing sections and
+    that the differing paragraphs of the other text do not hold.  1 for two texts without words and for equal ones.
+    """
+    sides = {f"{name}{side}": (p, q) for name, (a, b) in pairs.items() for side, p, q in (("__a", a, b), ("__b", b, a))}
+    opened = trees.select(
+        "*", *[open_paragraphs(F.col(f"{p}_branches"), F.col(f"{q}_branches")).alias(f"{n}_open") for n, (p, q) in sides.items()]
+    )
+    other = {n: n[:-1] + ("b" if n.endswith("a") else "a") for n in sides}
+    differing = opened.select(
+        "*", *[leaves(_texts(F.array_except(F.col(f"{n}_open"), F.col(f"{other[n]}_open")))).alias(f"{n}_left") for n in sides]
+    )
+    out = []
+    for name, (a, b) in pairs.items():
+        total = F.col(f"{a}_leaves") + F.col(f"{b}_leaves")
+        apart = sum(F.size(F.array_except(F.col(f"{n}_left"), F.col(f"{other[n]}_left"))) for n in (f"{name}__a", f"{name}__b"))
+        out.append(F.when(total == 0, 1.0).otherwise(1.0 - apart / total).alias(name))
+    return differing.select(*trees.columns, *out)
 
 
 def merkle_trees(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -110,7 +158,11 @@ def with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text, of its edited text, and how alike they and the next document are."""
+    """Fingerprints of every text, of its edited text, and how alike they and the next document are.
+
+    A row for each input row; a null text is empty.  The next document is that of ``with_next``, which says what
+    null and repeated ids give.
+    """
     text, following = F.col("__text"), F.col("__next")
     quarter = F.floor(F.length(text) / 4).cast("int")
     edited = with_next(docs).select(
@@ -125,18 +177,12 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         F.sha2("__edited", 256).alias("edited_sha256"),
         root(sections(paragraphs(text))).alias("fingerprint"),
         root(sections(paragraphs(F.col("__edited")))).alias("edited_fingerprint"),
-        (text == F.col("__edited")).alias("__same_edited"),
-        (text == following).alias("__same_next"),
-        leaves(text).alias("__leaves"),
-        leaves(F.col("__edited")).alias("__edited_leaves"),
-        leaves(following).alias("__next_leaves"),
-    )
-    return digests.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("__leaves"), F.col("__edited_leaves"), F.col("__same_edited")).alias("near_edited"),
-        likeness(F.col("__leaves"), F.col("__next_leaves"), F.col("__same_next")).alias("near_next"),
+        branches(text).alias("own_branches"),
+        branches(F.col("__edited")).alias("edited_branches"),
+        branches(following).alias("next_branches"),
+        F.size(leaves(text)).alias("own_leaves"),
+        F.size(leaves(F.col("__edited"))).alias("edited_leaves"),
+        F.size(leaves(following)).alias("next_leaves"),
     )
+    told = with_likeness(digests, {"near_edited": ("own", "edited"), "near_next": ("own", "next")})
+    return told.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
