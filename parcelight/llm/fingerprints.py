@@ -44,9 +44,9 @@ def leaves(text: Column) -> Column:
         ends = F.pmod(F.xxhash64(token), F.lit(LEAF_WORDS)) == 0
         return F.when(token == "\n", token).otherwise(F.concat(token, F.when(ends, F.lit("\n")).otherwise(F.lit(" "))))
 
-    runs = F.split(F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), marked), ""), " ?\n", -1)
-    filled = F.filter(F.transform(runs, lambda r: F.rtrim(r)), lambda r: r != "")
-    return F.array_distinct(F.transform(filled, lambda r: F.xxhash64(r)))
+    runs = F.split(F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), marked), ""), "\n", -1)
+    hashes = F.array_distinct(F.transform(runs, lambda r: F.xxhash64(F.rtrim(r))))
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))  # what stands before, between and after line breaks
 
 
 def branches(text: Column) -> Column:
@@ -73,7 +73,9 @@ def _texts(marked: Column) -> Column:
 
 
 def with_likeness(trees: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """``trees`` with a likeness for each pair of prefixes of the columns ``_branches`` and ``_leaves`` (their number).
+    """``trees`` with a likeness for each pair of prefixes of the columns ``_branches``, ``_leaves`` and ``_lines``.
+
+    ``_lines`` counts the distinct paragraphs; where all of them differ the leaves are those of the whole text.
 
     1 less the share of leaves, of those of both texts, that lie in differing paragraphs of differing sections and
     that the differing paragraphs of the other text do not hold.  1 for two texts without words and for equal ones.
@@ -83,14 +85,24 @@ def with_likeness(trees: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFr
         "*", *[open_paragraphs(F.col(f"{p}_branches"), F.col(f"{q}_branches")).alias(f"{n}_open") for n, (p, q) in sides.items()]
     )
     other = {n: n[:-1] + ("b" if n.endswith("a") else "a") for n in sides}
-    differing = opened.select(
-        "*", *[leaves(_texts(F.array_except(F.col(f"{n}_open"), F.col(f"{other[n]}_open")))).alias(f"{n}_left") for n in sides]
+    apart = opened.select(
+        "*", *[F.array_except(F.col(f"{n}_open"), F.col(f"{other[n]}_open")).alias(f"{n}_apart") for n in sides]
+    )
+    differing = apart.select(
+        "*",
+        *[
+            F.when(F.size(f"{n}_apart") == F.col(f"{p}_lines"), F.col(f"{p}_leaves"))
+            .when(F.size(f"{n}_apart") == 0, F.array().cast("array<bigint>"))
+            .otherwise(leaves(_texts(F.col(f"{n}_apart"))))
+            .alias(f"{n}_left")
+            for n, (p, _) in sides.items()
+        ],
     )
     out = []
     for name, (a, b) in pairs.items():
-        total = F.col(f"{a}_leaves") + F.col(f"{b}_leaves")
-        apart = sum(F.size(F.array_except(F.col(f"{n}_left"), F.col(f"{other[n]}_left"))) for n in (f"{name}__a", f"{name}__b"))
-        out.append(F.when(total == 0, 1.0).otherwise(1.0 - apart / total).alias(name))
+        total = F.size(f"{a}_leaves") + F.size(f"{b}_leaves")
+        unmatched = sum(F.size(F.array_except(F.col(f"{n}_left"), F.col(f"{other[n]}_left"))) for n in (f"{name}__a", f"{name}__b"))
+        out.append(F.when(total == 0, 1.0).otherwise(1.0 - unmatched / total).alias(name))
     return differing.select(*trees.columns, *out)
 
 
@@ -180,9 +192,11 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         branches(text).alias("own_branches"),
         branches(F.col("__edited")).alias("edited_branches"),
         branches(following).alias("next_branches"),
-        F.size(leaves(text)).alias("own_leaves"),
-        F.size(leaves(F.col("__edited"))).alias("edited_leaves"),
-        F.size(leaves(following)).alias("next_leaves"),
+        *[
+            column.alias(f"{name}_{what}")
+            for name, held in (("own", text), ("edited", F.col("__edited")), ("next", following))
+            for what, column in (("leaves", leaves(held)), ("lines", F.size(F.array_distinct(F.split(held, "\n", -1)))))
+        ],
     )
     told = with_likeness(digests, {"near_edited": ("own", "edited"), "near_next": ("own", "next")})
     return told.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
