@@ -196,7 +196,7 @@ from listed order by rank limit 10"""
 
 def _preprocessed(i: Inputs) -> DataFrame:
     """The feature vector as training makes it, from a fitted pipeline that was saved and loaded."""
-    rows = unfilled(i).select("order_id", *_NUMERIC, *_KINDS)
+    rows = cut_lineage(unfilled(i).select("order_id", *_NUMERIC, *_KINDS))  # read by each stage's fit and at the end
     seen = rows.where(_KNOWN)
     path = shared_path(i.spark, "preprocessing")
     Pipeline(stages=modeling.preprocessing(list(_NUMERIC), list(_KINDS))).fit(seen).write().save(path)
@@ -232,7 +232,7 @@ def _score_what_if(i: Inputs) -> DataFrame:
 
 def _one_hot(i: Inputs) -> DataFrame:
     """The one-hot slot of each category, -1 for a category that the fit did not see."""
-    rows = unfilled(i).select("order_id", "total_price", *_KINDS)
+    rows = cut_lineage(unfilled(i).select("order_id", "total_price", *_KINDS))  # as above
     seen = rows.where(_KNOWN)
     fitted = Pipeline(stages=modeling.preprocessing(["total_price"], list(_KINDS))).fit(seen)
     place = lambda c: (F.array_position(vector_to_array(f"{c}__h"), F.lit(1.0)) - 1).cast("int").alias(f"{c}_slot")
