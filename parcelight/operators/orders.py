@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelight.functions.dates import (
     floor_days,
@@ -65,6 +66,28 @@ def _described_items(items: DataFrame, products: DataFrame, sellers: DataFrame)
     return items.join(products, "product_id").join(sellers, "seller_id")
 
 
+# Numbers of lines that fit the bits of one long.
+_BITS = 64
+
+
+def _counted_items(lines: DataFrame) -> tuple[Column, DataFrame | None]:
+    """How many different item numbers an order has: an aggregate, and a frame of what it leaves out.
+
+    A distinct count would shuffle every line twice, with all other sums of the
+    roll-up.  Numbers from 0 to 63 are bits of one long instead, which is
+    combined on the map side; lines with other numbers, if there are any, are
+    counted apart.  Numbers that are no integers keep the distinct count.
+    """
+    number = F.col("order_item_id")
+    if not isinstance(lines.schema["order_item_id"].dataType, T.IntegralType):
+        return F.count_distinct(number), None
+    is_bit = number.between(0, _BITS - 1)
+    place = number.cast("bigint").bitwiseAND(_BITS - 1).cast("int")
+    bits = F.bit_or(F.when(is_bit, F.call_function("shiftleft", F.lit(1).cast("bigint"), place)))
+    others = lines.where(~is_bit).groupBy("order_id").agg(F.count_distinct(number).alias("__others"))
+    return F.coalesce(F.bit_count(bits), F.lit(0)).cast("bigint"), others
+
+
 def item_rollup(
     items: DataFrame,
     products: DataFrame,
@@ -77,8 +100,9 @@ def item_rollup(
     lines, then alphabetically).
     """
     lines = _described_items(items, products, sellers)
+    n_items, others = _counted_items(lines)
     rolled = lines.groupBy("order_id").agg(
-        F.count_distinct("order_item_id").alias("n_items"),
+        n_items.alias("n_items"),
         money_sum(F.col("price")).alias("raw_price"),
         money_sum(F.col("freight_value")).alias("raw_freight"),
         F.avg(safe_ratio(F.col("freight_value"), F.col("price"))).alias("raw_ratio"),
@@ -86,6 +110,9 @@ def item_rollup(
         F.min("seller_state").alias("min_seller_state"),
         F.max("seller_state").alias("max_seller_state"),
     )
+    if others is not None:
+        whole = F.col("n_items") + F.coalesce(F.col("__others"), F.lit(0).cast("bigint"))
+        rolled = rolled.join(others, "order_id", "left").withColumn("n_items", whole).drop("__others")
     if category_rule == "mode":
         counted = (
             lines.where(F.col("product_category_name").isNotNull())
@@ -136,10 +163,14 @@ def order_features(
     customers: DataFrame,
     category_rule: str = "first",
 ) -> DataFrame:
-    """One row per delivered order with everything known about its items."""
+    """One row per delivered order with everything known about its items.
+
+    Orders meet their customers while they are narrow; what follows is joined on
+    the order alone, so the wide rows are not shuffled to the customers and back.
+    """
     rolled = item_rollup(items, products, sellers, category_rule)
     places = customers.select("customer_id", "customer_state", "customer_city")
-    joined = delivered_orders(orders).join(rolled, "order_id").join(places, "customer_id")
+    joined = delivered_orders(orders).join(places, "customer_id").join(rolled, "order_id")
     promised = floor_days(F.col(PURCHASED), F.col(PROMISED))
     return joined.select(
         "order_id", "customer_id", PURCHASED, DELIVERED, PROMISED,

@@ -81,8 +81,9 @@ def prior_totals_in_blocks(
         .where(F.col(f"__c_sum_{names[0]}").isNotNull())
     )
 
+    # the key comes first: a sort compares its first column cheaply, and a task has one block
     earlier_rows = (
-        Window.partitionBy(_BLOCK, *keys)
+        Window.partitionBy(*keys, _BLOCK)
         .orderBy(*order_by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )

@@ -24,7 +24,7 @@ from parcelight.registry.orders import (
     mart,
 )
 from parcelight.registry.spec import Spec, rounded
-from parcelight.session import cut_lineage, shared_path
+from parcelight.session import cut_lineage, hash_joins, shared_path
 from parcelight.sources.fixtures import Inputs
 
 _NUMERIC = ("n_items", "total_price", "total_freight", "freight_to_price_ratio",
@@ -111,7 +111,8 @@ def _parts(frame: DataFrame, order_by: list[str]) -> tuple[DataFrame, DataFrame]
 
 
 def _model_parts(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    return _parts(dataset(i), [PURCHASED, "order_id"])
+    with hash_joins(i.spark):
+        return _parts(dataset(i), [PURCHASED, "order_id"])
 
 
 def _report_frame(i: Inputs, result: modeling.Evaluation, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -127,13 +128,13 @@ def _report_frame(i: Inputs, result: modeling.Evaluation, train: DataFrame, test
 _SAVED: dict[tuple[str, str, str], str] = {}
 
 
-def _fitted(i: Inputs, name: str, fit, train: DataFrame):
+def _fitted(i: Inputs, name: str, fit, train: DataFrame, digest: str | None = None):
     """A model fitted now, saved to the shared folder with its metadata and read again."""
     folder = shared_path(i.spark, name)
     numeric, categorical = modeling.feature_columns(train)
     metadata = {"best_model": name, "numeric_features": numeric, "categorical_features": categorical}
     modeling.save_model(i.spark, fit(train), metadata, folder)
-    _SAVED[(i.spark.sparkContext.applicationId, name, _digest(train))] = folder
+    _SAVED[(i.spark.sparkContext.applicationId, name, digest or _digest(train))] = folder
     return modeling.load_model(i.spark, folder)
 
 
@@ -145,8 +146,9 @@ def _digest(train: DataFrame) -> str:
 
 def _saved(i: Inputs, name: str, fit, train: DataFrame):
     """The model of exactly these training rows, fitted only if this application has not done so."""
-    folder = _SAVED.get((i.spark.sparkContext.applicationId, name, _digest(train)))
-    return modeling.load_model(i.spark, folder) if folder else _fitted(i, name, fit, train)
+    digest = _digest(train)
+    folder = _SAVED.get((i.spark.sparkContext.applicationId, name, digest))
+    return modeling.load_model(i.spark, folder) if folder else _fitted(i, name, fit, train, digest)
 
 
 def _train_logistic(i: Inputs) -> DataFrame:

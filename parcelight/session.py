@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,23 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Largest partition, as shuffled, that a join may hold as a hash table.
+_HASHED_PARTITION = "64MB"
+
+
+@contextmanager
+def hash_joins(spark: SparkSession) -> Iterator[None]:
+    """Shuffled joins that start in here hash their smaller side where all its partitions are
+    small, as AQE finds at run time; sorting both sides is left for the others."""
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, _HASHED_PARTITION)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
