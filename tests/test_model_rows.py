@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelight.operators import orders
+from parcelight.operators import statistics as stats
 from parcelight.operators.prefix import prior_totals
 from parcelight.registry import modeling as registry
 from parcelight.session import hash_joins
@@ -108,3 +109,11 @@ def test_training_rows_are_digested_once(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(registry.modeling, "load_model", lambda *_: (None, {}))
     registry._saved(type("I", (), {"spark": spark}), "digest-test", lambda df: None, train)
     assert len(counted) == 1
+
+
+def test_the_sketch_is_as_fine_as_the_range_needs(spark):
+    """Its error stays inside the range around the middle, and one task merges no finer one."""
+    assert 1 < stats._SKETCH_ACCURACY * stats._NEAR_MIDDLE <= 2
+    numbers = spark.range(0, 30_001, 1, 12).select((F.col("id") * 7919 % 30_011).cast("double").alias("x"))
+    ordered = sorted(r["x"] for r in numbers.collect())
+    assert [tuple(r) for r in stats.exact_medians(numbers, ["x"]).collect()] == [("x", ordered[15_000])]
