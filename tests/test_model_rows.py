@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelight.operators import orders
 from parcelight.operators import statistics as stats
-from parcelight.operators.prefix import prior_totals
+from parcelight.operators.prefix import in_blocks, prior_totals_in_blocks
 from parcelight.registry import modeling as registry
 from parcelight.session import hash_joins
 
@@ -96,7 +96,8 @@ def test_model_rows_are_joined_by_hash(spark, monkeypatch, no_broadcast):
 
 def test_a_key_is_sorted_by_itself_before_its_block(spark):
     frame = spark.range(500).selectExpr("id % 9 as k", "id as t", "1L as v")
-    made = prior_totals(frame, ["t"], {"n": F.col("v")}, partition_by=["k"])
+    blocked = in_blocks(frame, ["t"], ["k"])
+    made = prior_totals_in_blocks(blocked, ["t"], {"n": F.col("v")}, ["k"], keys_first=True)
     assert re.search(r"Sort \[k#\d+L? ASC NULLS FIRST, __block#\d+ ASC NULLS FIRST, t#", _final_plan(made))
     assert {(r["t"], r["n"]) for r in made.collect()} == {(i, i // 9) for i in range(500)}
 
