@@ -80,8 +80,8 @@ def test_as_good_as_the_forest_of_spark_ml(rows, monkeypatch):
     assert abs(found[1] - found[10**9]) < 0.01 and found[1] > 0.8
 
 
-def test_a_number_column_of_one_value_and_a_rare_category(rows, monkeypatch):
+def test_number_columns_of_one_value_and_a_rare_category(rows, monkeypatch):
     monkeypatch.setattr(modeling, "SPARK_ML_PAIRS", 1)
-    odd = rows.withColumns({"a": F.lit(None).cast("double"), "c": F.when(F.col("order_id") == 7, "rare").otherwise("often")})
-    model = modeling.fit_forest(odd, trees=3, depth=3)
+    odd = rows.withColumns({"a": F.lit(None).cast("double"), "b": F.lit(3), "c": F.when(F.col("order_id") == 7, "rare").otherwise("often")})
+    model = modeling.fit_forest(odd, trees=3, depth=3, seed=-5)
     assert modeling.score_orders(odd, model, ["a", "b", "c"]).where("probability_late is not null").count() == 3000
