@@ -85,3 +85,14 @@ def test_number_columns_of_one_value_and_a_rare_category(rows, monkeypatch):
     odd = rows.withColumns({"a": F.lit(None).cast("double"), "b": F.lit(3), "c": F.when(F.col("order_id") == 7, "rare").otherwise("often")})
     model = modeling.fit_forest(odd, trees=3, depth=3, seed=-5)
     assert modeling.score_orders(odd, model, ["a", "b", "c"]).where("probability_late is not null").count() == 3000
+
+
+def test_deeper_trees_take_no_more_jobs(spark, rows, monkeypatch):
+    monkeypatch.setattr(modeling, "SPARK_ML_PAIRS", 1)
+    context, jobs = spark.sparkContext, {}
+    for depth in (2, 10):
+        context.setJobGroup(f"forest-{depth}", "a forest")
+        assert max(t.depth for t in modeling.fit_forest(rows, trees=3, depth=depth).stages[-1].trees) == depth
+        jobs[depth] = len(context.statusTracker().getJobIdsForGroup(f"forest-{depth}"))
+    context.setJobGroup("", "")
+    assert 0 < jobs[10] <= jobs[2] + 3  # Spark ML takes one or more for each level
